@@ -1,9 +1,4 @@
-"""Mixed-format date and time parsing, and time arithmetic.
-
-Each text is matched against cheap shape patterns first and handed to exactly one parser. A
-failed parse raises and catches an exception inside the engine, so trying six formats in turn
-would cost far more than the shape tests.
-"""
+"""Mixed-format date and time parsing, and time arithmetic."""
 
 from __future__ import annotations
 
@@ -12,54 +7,44 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import strip
 
-# Accepted shapes with their formats, most common first. Slash dates are
-# month-first; the day-first twin applies only when the month-first reading is impossible.
-DATE_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
-    (r"^[A-Za-z]{4,9} \d{1,2} \d{4}$", "MMMM d yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^(1[3-9]|2\d|3[01])/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
-)
-
-DATETIME_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "M/d/yyyy H:m:s"),
-    (r"(?i)^\d{1,2}:\d{1,2} [ap]m [a-z]{3} \d{1,2}, \d{4}$", "h:m a MMM d, yyyy"),
-    (r"(?i)^\d{1,2}:\d{1,2} [ap]m [a-z]{4,9} \d{1,2}, \d{4}$", "h:m a MMMM d, yyyy"),
-    (r"^(1[3-9]|2\d|3[01])/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d/M/yyyy H:m:s"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$", "yyyy-M-d H:m"),
-    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "M/d/yyyy H:m"),
+# The accepted formats. Each bracket is an optional section of one pattern, tried
+# at the current position, so any mix is parsed in a single pass. Trying the formats one by one
+# would raise and catch an exception per miss. Slash dates are month-first; the day-first twin
+# applies only when the month-first reading is impossible.
+CLOCK = "[h:m a ]"
+DATES = (
+    "[yyyy-M-d]"
+    "[M/d/yyyy]"
+    "[MMM d[,] yyyy]"
+    "[MMMM d[,] yyyy]"
+    "[yyyy/M/d]"
+    "[d MMM yyyy]"
+    "[d MMMM yyyy]"
 )
+TIMES = "[ H:m[:s[.SSSSSS][.SSS]]]['T'H:m[:s[.SSSSSS][.SSS]]]"
+DAY_FIRST = "d/M/yyyy"
+DAY_FIRST_SHAPE = "^(1[3-9]|2[0-9]|3[01])/"
 
 
-def _single_spaced(cell: Column) -> Column:
-    return F.regexp_replace(strip(cell), r"(?U)\s+", " ")
+def _parse(text: Column) -> Column:
+    parsed = F.coalesce(
+        F.try_to_timestamp(text, F.lit(CLOCK + DATES + TIMES)),
+        F.when(
+            text.rlike(DAY_FIRST_SHAPE), F.try_to_timestamp(text, F.lit(DAY_FIRST + TIMES))
+        ),
+    )
+    # Every section is optional, so an empty text would match.
+    return F.when(text != "", parsed).cast("timestamp_ntz")
 
 
-def _parse(text: Column, shapes) -> Column:
-    parsed = None
-    for shape, fmt in shapes:
-        hit = text.rlike(shape)
-        value = F.try_to_timestamp(text, F.lit(fmt))
-        parsed = F.when(hit, value) if parsed is None else parsed.when(hit, value)
-    return parsed.cast("timestamp_ntz")
+def parse_mixed_datetime(cell: Column) -> Column:
+    """Zone-less timestamp from any accepted format; a bare date means midnight; else null."""
+    return _parse(F.regexp_replace(strip(cell), r"(?U)\s+", " "))
 
 
 def parse_mixed_date(cell: Column) -> Column:
-    """Date from any accepted date shape; a date-time text yields its date; else null."""
-    return _parse(_single_spaced(cell), DATE_SHAPES + DATETIME_SHAPES).cast("date")
-
-
-def parse_mixed_datetime(cell: Column) -> Column:
-    """Zone-less timestamp from any accepted shape; a bare date means midnight; else null."""
-    return _parse(_single_spaced(cell), DATETIME_SHAPES + DATE_SHAPES)
+    """Date from any accepted format; a date-time text yields its date; else null."""
+    return parse_mixed_datetime(cell).cast("date")
 
 
 def iso_date(value: Column) -> Column:

@@ -204,6 +204,33 @@ def flatten(documents: DataFrame) -> DataFrame:
     )
 
 
+def documents_of(
+    orders: DataFrame, items: DataFrame, listings: DataFrame, history: DataFrame
+) -> DataFrame:
+    """Documents of a few orders: the other orders' rows are filtered out before any grouping."""
+    ids = orders.select("order_id")
+    return order_snapshot(
+        orders,
+        items.join(ids, "order_id", "left_semi"),
+        listings,
+        history.join(ids, "order_id", "left_semi"),
+    )
+
+
+def order_document(
+    order_id: object,
+    orders: DataFrame,
+    items: DataFrame,
+    listings: DataFrame,
+    history: DataFrame,
+) -> DataFrame:
+    """One order's document; the key filter reaches the scans of all three order tables."""
+    wanted = F.col("order_id") == F.lit(order_id)
+    return order_snapshot(
+        orders.filter(wanted), items.filter(wanted), listings, history.filter(wanted)
+    )
+
+
 def order_lookup(documents: DataFrame, order_id: object) -> DataFrame:
     """All pages of one order; normally one document."""
     return documents.filter(F.col("order_id") == str(order_id))
