@@ -69,13 +69,14 @@ def normalize_order_items(events: DataFrame, order: Sequence[str] = ()) -> DataF
     )
 
 
-def status_log(events: DataFrame) -> DataFrame:
-    """Every event as a status-log row."""
+def status_log(events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Every event as a status-log row, with ``extra`` columns carried along."""
     return events.select(
         "order_id",
         "listing_id",
         F.col("event_timestamp").alias("status_timestamp"),
         "order_status",
+        *extra,
     )
 
 
