@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderloom.functions.text import strip
+# Guards the cast, which trims blanks itself but also accepts literals such as "1d" or "2F".
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Guards the cast: it would also accept Java-only literals such as "1d" or "2F".
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-
-INT_MAX = 2**31 - 1
 LONG_SAFE = 2.0**63
 
 
 def to_number(cell: Column) -> Column:
-    text = strip(cell.cast("string"))
+    text = cell.cast("string")
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderloom.functions.text import strip
-
 # The accepted formats. Each bracket is an optional section of one pattern, tried
 # at the current position, so any mix is parsed in a single pass. Trying the formats one by one
 # would raise and catch an exception per miss. Slash dates are month-first; the day-first twin
@@ -39,7 +37,7 @@ def _parse(text: Column) -> Column:
 
 def parse_mixed_datetime(cell: Column) -> Column:
     """Zone-less timestamp from any accepted format; a bare date means midnight; else null."""
-    return _parse(F.regexp_replace(strip(cell), r"(?U)\s+", " "))
+    return _parse(F.trim(F.regexp_replace(cell, r"(?U)\s+", " ")))
 
 
 def parse_mixed_date(cell: Column) -> Column:

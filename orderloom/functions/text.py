@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 ASCII_BLANKS = "".join(c for c in BLANKS if c.isascii())
 
-# Fixed value: a whole cell holding one of these tokens, in any case, means "no value".
-NULL_CELL = r"(?iU)^\s*(nan|na|n/a|null|none)?\s*$"
+# A whole cell holding one of these, in any case, means "no value".
+NULL_TOKENS = ("", "nan", "na", "n/a", "null", "none")
+_LONGEST_TOKEN = max(map(len, NULL_TOKENS))
+_NULL_CELL = rf"(?iU)^\s*({'|'.join(NULL_TOKENS)})\s*$"
 
 
 def strip(cell: Column) -> Column:
@@ -28,8 +30,12 @@ def strip_quotes(cell: Column) -> Column:
     return F.btrim(cell, F.lit('"'))
 
 
-def null_if_token(cell: Column) -> Column:
-    return F.when(~cell.rlike(NULL_CELL), cell)
+def null_if_token(cell: Column, stripped: bool = False) -> Column:
+    """Null for a "no value" token. A stripped cell is compared directly, mostly by its length."""
+    if stripped:
+        is_word = F.octet_length(cell) > _LONGEST_TOKEN
+        return F.when(is_word | ~F.lower(cell).isin(*NULL_TOKENS), cell)
+    return F.when(~cell.rlike(_NULL_CELL), cell)
 
 
 def clean_cell(cell: Column, quotes: bool = True) -> Column:
@@ -37,8 +43,9 @@ def clean_cell(cell: Column, quotes: bool = True) -> Column:
 
     Blanks that sat inside quotes survive on purpose; the column's own rule trims them.
     """
-    trimmed = strip(cell)
-    return null_if_token(strip_quotes(trimmed) if quotes else trimmed)
+    if quotes:
+        return null_if_token(strip_quotes(strip(cell)))
+    return null_if_token(strip(cell), stripped=True)
 
 
 def normalize_cells(df: DataFrame, quotes: bool = True) -> DataFrame:
