@@ -72,19 +72,16 @@ def order_payment(items: DataFrame) -> DataFrame:
     return items.withColumn("amount", item_amount()).groupBy("order_id").agg(_subtotal())
 
 
-def crowded_orders(items: DataFrame, page_items: int = PAGE_ITEMS) -> DataFrame | None:
-    """Orders with more than ``page_items`` items and the pages each needs; None if there are none.
+def crowded_orders(items: DataFrame, page_items: int = PAGE_ITEMS) -> tuple[DataFrame, int]:
+    """Orders with more than ``page_items`` items, the pages each needs, and how many there are.
 
-    Runs one counting job over the order ids. At most one order per ``page_items`` items of the
-    whole table can qualify; the count decides whether the list may be broadcast.
+    Counting them runs one job over the order ids. At most one order per ``page_items`` items of
+    the whole table can qualify, and normally none does.
     """
     counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
     pages = F.ceil(F.col("n") / F.lit(page_items)).cast("bigint").alias("pages")
     crowded = counts.filter(F.col("n") > page_items).select("order_id", pages)
-    found = crowded.count()
-    if found == 0:
-        return None
-    return F.broadcast(crowded) if found <= MAX_BROADCAST_ORDERS else crowded
+    return crowded, crowded.count()
 
 
 def item_lists(enriched: DataFrame) -> DataFrame:
@@ -92,14 +89,19 @@ def item_lists(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("order_id").agg(_item_list(), _subtotal())
 
 
-def paged_item_lists(enriched: DataFrame, crowded: DataFrame) -> DataFrame:
-    """(order_id, page, items): crowded orders dealt onto pages by a hash of the listing.
+def paged_item_lists(enriched: DataFrame, crowded: DataFrame, found: int) -> DataFrame:
+    """(order_id, page, items): ``found`` crowded orders dealt onto pages by a listing hash.
 
     Grouping by order *and* page spreads even one order with most of the items over all tasks.
+    Crowded orders without pages are left out.
     """
+    plan = crowded.withColumn("_crowded", F.lit(True))
+    if found <= MAX_BROADCAST_ORDERS:
+        plan = F.broadcast(plan)
     page = F.coalesce(F.pmod(F.xxhash64("listing_id"), F.col("pages")), F.lit(0).cast("bigint"))
     return (
-        enriched.join(crowded, "order_id", "left")
+        enriched.join(plan, "order_id", "left")
+        .filter("_crowded IS NULL OR pages IS NOT NULL")
         .withColumn("page", page)
         .groupBy("order_id", "page")
         .agg(_item_list())
@@ -114,28 +116,34 @@ def order_items_array(
     Normally no order is crowded and the arrays take one aggregation.
     """
     enriched = enrich_items(items, listings)
-    crowded = crowded_orders(items, page_items)
-    if crowded is not None:
-        return paged_item_lists(enriched, crowded)
+    crowded, found = crowded_orders(items, page_items)
+    if found:
+        return paged_item_lists(enriched, crowded, found)
     return item_lists(enriched).select("order_id", F.lit(0).cast("bigint").alias("page"), "items")
 
 
 def _with_items(
     headers: DataFrame, items: DataFrame, listings: DataFrame, page_items: int
 ) -> DataFrame:
+    """Order headers joined to their item arrays; one more row per further page."""
     enriched = enrich_items(items, listings)
-    crowded = crowded_orders(items, page_items)
-    if crowded is None:
-        return headers.join(item_lists(enriched), "order_id", "left").withColumn(
-            "page", F.lit(0).cast("bigint")
-        )
-    # Items of orders that do not exist are left out before they could fill pages.
-    known = headers.select("order_id")
-    pages = paged_item_lists(enriched.join(known, "order_id", "left_semi"), crowded)
-    first_pages = headers.join(order_payment(items), "order_id", "left").withColumn(
-        "page", F.lit(0).cast("bigint")
+    crowded, found = crowded_orders(items, page_items)
+    first_page = F.lit(0).cast("bigint")
+    if not found:
+        lists = item_lists(enriched)
+        return headers.join(lists, "order_id", "left").withColumn("page", first_page)
+    # Items of a crowded order that does not exist must not fill pages: it gets none.
+    known = headers.select("order_id", F.lit(True).alias("_known"))
+    crowded = crowded.join(known, "order_id", "left").select(
+        "order_id", F.when(F.col("_known"), F.col("pages")).alias("pages")
     )
-    return first_pages.join(pages, ["order_id", "page"], "full")
+    pages = paged_item_lists(enriched, crowded, found)
+    first_pages = (
+        headers.join(order_payment(items), "order_id", "left")
+        .withColumn("page", first_page)
+        .withColumn("_known", F.lit(True))
+    )
+    return first_pages.join(pages, ["order_id", "page"], "full").filter("_known OR page > 0")
 
 
 def order_snapshot(

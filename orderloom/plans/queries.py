@@ -162,8 +162,8 @@ def snapshot_upsert(m):
 def history_by_status(m):
     """Write the log by status, read one status back from its folder alone."""
     path = f"{shared_folder(m.spark)}/history_by_status-{uuid.uuid4().hex}"
-    store.write_history_by_status(m.history, path)
-    return store.read_history_by_status(m.spark, path).filter("order_status = 'DELIVERED'")
+    store.write_table(m.history, schemas.STATUS_HISTORY, path)
+    return m.spark.read.parquet(path).filter("order_status = 'DELIVERED'")
 
 
 # --- text repair and parsing ------------------------------------------------------------------

@@ -33,6 +33,8 @@ class Table:
     fields: tuple[Field, ...]
     key: tuple[str, ...]
     references: tuple[Reference, ...] = ()
+    # Columns the stored table is split into folders by.
+    folders: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -106,6 +108,8 @@ STATUS_HISTORY = Table(
     ),
     key=("order_id", "listing_id", "status_timestamp"),
     references=(Reference(("order_id", "listing_id"), "order_items", "cascade"),),
+    # The analytic questions each concern one or two statuses.
+    folders=("order_status",),
 )
 
 # Parents come before children: this is also the load order.

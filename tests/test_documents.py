@@ -104,7 +104,26 @@ def test_documents_match_brute_force(spark, seed):
     assert as_dicts(documents.order_snapshot(*frames(spark, shop))) == expected(shop)
 
 
-def test_crowded_orders_are_paged_without_losing_items(spark):
+DOCUMENT = (
+    "struct<_id:string,order_id:string,customer:struct<customer_id:string>,"
+    "items:array<struct<listing_id:string,quantity:int,extended_price:double,"
+    "product:struct<name:string,category:string,seller_id:string,price_at_purchase:double>>>,"
+    "status_timeline:array<struct<status:string,at:string>>,current_status:string,"
+    "placed_at:string,shipped_at:string,delivered_at:string,"
+    "payment:struct<currency:string,subtotal:double,total:double>,"
+    "metrics:struct<hours_to_ship:double,hours_to_deliver:double>,"
+    "audit:struct<source:string,snapshot_ts:string>>"
+)
+
+
+def test_document_type(spark):
+    docs = documents.order_snapshot(*frames(spark, random_shop(1, n_orders=2)))
+    assert docs.schema.simpleString() == DOCUMENT
+
+
+@pytest.mark.parametrize("broadcast_limit", [1_000_000, 0])
+def test_crowded_orders_are_paged_without_losing_items(spark, monkeypatch, broadcast_limit):
+    monkeypatch.setattr(documents, "MAX_BROADCAST_ORDERS", broadcast_limit)
     shop = random_shop(3, hot_items=300)
     found = as_dicts(documents.order_snapshot(*frames(spark, shop), page_items=40))
     want = expected(shop)

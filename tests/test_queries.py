@@ -5,6 +5,7 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from orderloom.schemas import STATUS_HISTORY
 from orderloom.sources import store
 from orderloom.sources.marketplace import Marketplace
 from tests.compare import compare, duck
@@ -60,8 +61,8 @@ def test_lookup_reaches_the_scans(spark):
 
 def test_status_layout_prunes_partitions(spark, tmp_path):
     m = Marketplace(spark, FOLDER)
-    store.write_history_by_status(m.history, str(tmp_path / "h"))
-    df = store.read_history_by_status(spark, str(tmp_path / "h")).filter("order_status = 'SHIPPED'")
+    store.write_table(m.history, STATUS_HISTORY, str(tmp_path / "h"))
+    df = spark.read.parquet(str(tmp_path / "h")).filter("order_status = 'SHIPPED'")
     partition_filters = re.search(r"PartitionFilters: \[(.*?)\]", plan_of(df)).group(1)
     assert "order_status" in partition_filters and "SHIPPED" in partition_filters
     assert df.count() == m.history.filter("order_status = 'SHIPPED'").count()
