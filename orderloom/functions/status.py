@@ -22,10 +22,8 @@ STAGES = (UNKNOWN, PLACED, SHIPPED, DELIVERED, CANCELLED)
 
 def normalize_status(cell: Column) -> Column:
     text = F.lower(cell)
-    status = F
-    for stem, name in STEMS:
-        status = status.when(text.contains(stem), name)
-    return status.otherwise(UNKNOWN)
+    found = [F.when(text.contains(stem), F.lit(name)) for stem, name in STEMS]
+    return F.coalesce(*found, F.lit(UNKNOWN))
 
 
 def stage(status: Column) -> Column:

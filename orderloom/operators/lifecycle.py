@@ -107,11 +107,8 @@ def order_metrics(history: DataFrame) -> DataFrame:
     )
 
 
-def timeline(at: Column | None = None) -> Column:
-    """Array of the reached milestones, always in lifecycle order.
-
-    Milestone columns must already be text.
-    """
+def timeline() -> Column:
+    """Array of the reached milestones, always in lifecycle order; expects them as text."""
     steps = [
         F.when(
             F.col(name).isNotNull(),

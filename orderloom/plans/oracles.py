@@ -334,6 +334,9 @@ LISTINGS_REPAIRED = (LISTING_LINES, _repair(_LISTING, 6))
 _oracle("repair_customer_rows", "SELECT * FROM repaired", *CUSTOMERS_REPAIRED)
 _oracle("repair_listing_rows", "SELECT * FROM repaired", *LISTINGS_REPAIRED)
 
+_oracle("scan_customer_lines", "SELECT * EXCLUDE (row_key) FROM repaired", *CUSTOMERS_REPAIRED)
+_oracle("scan_listing_lines", "SELECT * EXCLUDE (row_key) FROM repaired", *LISTINGS_REPAIRED)
+
 CUSTOMER_CELLS = f"""
 cells AS (SELECT row_key, {', '.join(f'{_cell(c)} AS {c}' for c in _CUSTOMER)} FROM repaired)"""
 LISTING_CELLS = f"""
@@ -384,6 +387,27 @@ clean_orders AS (
         FROM raw_events))"""
 _oracle("clean_orders", "SELECT * FROM clean_orders", BASE, RAW_EVENTS, CLEAN_ORDERS)
 
+_oracle(
+    "scan_event_records",
+    """SELECT * REPLACE (CASE WHEN order_id::BIGINT % 5 <> 2 THEN order_status END AS order_status,
+                         NULLIF(price_at_purchase, 'NULL') AS price_at_purchase)
+       FROM raw_events WHERE order_id::BIGINT % 5 <> 1""",
+    BASE, RAW_EVENTS,
+)
+_oracle(
+    "load_tables",
+    """SELECT 'customers' AS table_name,
+              concat_ws('|', customer_id, first_name, last_name, email, join_date, city) AS row
+       FROM customers
+       UNION ALL SELECT 'listings', concat_ws('|', listing_id, product_name, category, seller_id,
+                                              price, stock_quantity, listing_date) FROM listings
+       UNION ALL SELECT DISTINCT 'orders', concat_ws('|', order_id, customer_id) FROM order_events
+       UNION ALL SELECT DISTINCT 'order_item_status_history',
+                        concat_ws('|', order_id, listing_id, status_timestamp, order_status)
+       FROM history""",
+    BASE,
+)
+
 _oracle(
     "parse_mixed_date",
     "SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS parsed FROM orders",

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.functions import numeric, status, temporal, text
 from orderloom.operators import audit, cleaning, documents, lifecycle, normalize, revenue, upsert
+from orderloom.plans import jobs
 from orderloom.session import shared_folder
-from orderloom.sources import dirty, store
+from orderloom.sources import delimited, dirty, lines, store
 from orderloom.sources.marketplace import Marketplace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,58 @@ def scan_projected(m):
     )
 
 
+def _new_folder(m, name: str) -> str:
+    return f"{shared_folder(m.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def scan_customer_lines(m):
+    """Lines written to files with headers, read back and repaired."""
+    path = _new_folder(m, "customer_lines")
+    dirty.write_lines(dirty.customer_lines(m), ",".join(CUSTOMER_COLUMNS), path)
+    return lines.read_repaired(m.spark, path, cleaning.CUSTOMER_DATE_INDEX)
+
+
+@query
+def scan_listing_lines(m):
+    path = _new_folder(m, "listing_lines")
+    dirty.write_lines(dirty.listing_lines(m), ",".join(LISTING_COLUMNS), path)
+    return lines.read_repaired(m.spark, path, cleaning.LISTING_DATE_INDEX)
+
+
+@query
+def scan_event_records(m):
+    """Quoted records read back: too long ones are gone, short ones padded."""
+    path = _new_folder(m, "event_lines")
+    dirty.write_lines(dirty.event_lines(m), ",".join(schemas.EVENT_COLUMNS), path)
+    return delimited.read_events_csv(m.spark, path)
+
+
+@query
+def load_tables(m):
+    """All feeds written as raw files, cleaned, loaded twice, and read back as published."""
+    folder = _new_folder(m, "load")
+    listings = m.listings.withColumn("price", F.concat(F.lit("$"), "price"))
+    feeds = {
+        "customers": m.customers,
+        "listings": listings,
+        "orders": m.events.withColumn("order_status", F.lower("order_status")),
+    }
+    for name, df in feeds.items():
+        delimited.write_csv(df, f"{folder}/raw/{jobs.RAW_FILES[name]}")
+    jobs.clean_files(m.spark, f"{folder}/raw", f"{folder}/clean")
+    for _ in range(2):
+        jobs.load_tables(m.spark, f"{folder}/clean", f"{folder}/store")
+    published = store.TableStore(m.spark, f"{folder}/store")
+    return audit.union_all(
+        published.read(table).select(
+            F.lit(name).alias("table_name"), F.concat_ws("|", *table.columns).alias("row")
+        )
+        for name, table in schemas.TABLES.items()
+        if name != "order_items"
+    )
+
+
 def _twice(df: DataFrame) -> DataFrame:
     """A batch that names every key two times; ``seq`` tells the versions apart."""
     return df.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2))))
@@ -161,7 +214,7 @@ def snapshot_upsert(m):
 @query
 def history_by_status(m):
     """Write the log by status, read one status back from its folder alone."""
-    path = f"{shared_folder(m.spark)}/history_by_status-{uuid.uuid4().hex}"
+    path = _new_folder(m, "history_by_status")
     store.write_table(m.history, schemas.STATUS_HISTORY, path)
     return m.spark.read.parquet(path).filter("order_status = 'DELIVERED'")
 

@@ -100,3 +100,24 @@ def raw_events(m: Marketplace) -> DataFrame:
         F.expr(datetime_text("event_timestamp", "order_id")).alias("event_timestamp"),
         F.expr(status_text("order_status", "listing_id")).alias("order_status"),
     )
+
+
+def event_lines(m: Marketplace) -> DataFrame:
+    """The raw feed as CSV records: quoted times, some records too long, some too short."""
+    time = F.concat(F.lit('"'), F.col("event_timestamp"), F.lit('"'))
+    status = F.expr("CASE WHEN order_id % 5 <> 2 THEN order_status END")
+    surplus = F.expr("CASE WHEN order_id % 5 = 1 THEN 'extra' END")
+    cells = ["order_id", "customer_id", "listing_id", "quantity", "price_at_purchase"]
+    return raw_events(m).select(F.concat_ws(",", *cells, time, status, surplus).alias("line"))
+
+
+def write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Text files that each start with a header line; the lines are written as they are."""
+    lines.select(F.col("line").alias(header)).write.mode("overwrite").csv(
+        path,
+        header=True,
+        sep="\u0001",
+        quote="\u0002",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )

@@ -27,13 +27,14 @@ class Marketplace:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, df: DataFrame) -> DataFrame:
+    def spread(self, df: DataFrame, *columns: str) -> DataFrame:
         """Deal out a scan with fewer splits than cores, such as a file of one row group.
 
-        Large inputs have more splits than cores and are left alone.
+        ``columns`` together are nearly unique, so hashing them evens out hot values. Large
+        inputs have more splits than cores and are left alone.
         """
         splits, cores = df.rdd.getNumPartitions(), self.spark.sparkContext.defaultParallelism
-        return df.repartition(min(cores, 8 * splits)) if splits < cores else df
+        return df.repartition(min(cores, 8 * splits), *columns) if splits < cores else df
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -69,7 +70,9 @@ class Marketplace:
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines with the times of their possible events."""
-        lineitem, orders = self.spread(self.table("lineitem")), self.table("orders")
+        identity = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+        lineitem = self.spread(self.table("lineitem"), *identity)
+        orders = self.table("orders")
         return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),

@@ -95,7 +95,7 @@ def test_bad_rows_stop_the_load_or_are_set_aside(spark, raw, tmp_path):
     jobs.clean_files(spark, str(raw), clean)
     with pytest.raises(jobs.LoadRejected):
         jobs.load_tables(spark, clean, root)
-    assert TableStore(spark, root).version() == 0
+    assert TableStore(spark, root).version == 0
 
     report = jobs.load_tables(spark, clean, root, on_reject="quarantine")
     assert report.rejected == {
