@@ -1,4 +1,4 @@
-"""Command line for spark-submit: clean, load and snapshot."""
+"""Command line for spark-submit: clean, load, snapshot and report."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from orderloom.plans import jobs
+from orderloom.plans import jobs, reports
+from orderloom.session import configure
+from orderloom.sources.store import TableStore
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="orderloom")
-    commands = parser.add_subparsers(dest="command", required=True)
+def parser() -> argparse.ArgumentParser:
+    root = argparse.ArgumentParser(prog="orderloom")
+    commands = root.add_subparsers(dest="command", required=True)
     clean = commands.add_parser("clean", help="raw CSV files to cleaned CSV folders")
     clean.add_argument("source")
     clean.add_argument("target")
@@ -21,15 +23,29 @@ def main() -> None:
     load.add_argument("--on-reject", choices=("fail", "quarantine"), default="fail")
     snapshot = commands.add_parser("snapshot", help="one document per published order")
     snapshot.add_argument("root")
-    args = parser.parse_args()
+    report = commands.add_parser("report", help="a question about published data")
+    report.add_argument("root")
+    report.add_argument("name", choices=tuple(reports.REPORTS))
+    report.add_argument("argument", nargs="*", help="top X, an order, customer, status, or SQL")
+    report.add_argument("--out", help="write JSON lines here instead of showing the first rows")
+    return root
 
-    spark = SparkSession.builder.appName(f"orderloom {args.command}").getOrCreate()
+
+def main(argv: list[str] | None = None) -> None:
+    args = parser().parse_args(argv)
+    spark = configure(SparkSession.builder.appName(f"orderloom {args.command}").getOrCreate())
     if args.command == "clean":
         print("cleaned:", ", ".join(jobs.clean_files(spark, args.source, args.target)))
     elif args.command == "load":
         print(jobs.load_tables(spark, args.source, args.root, args.on_reject))
-    else:
+    elif args.command == "snapshot":
         print(jobs.snapshot_orders(spark, args.root))
+    else:
+        result = reports.REPORTS[args.name](TableStore(spark, args.root), *args.argument)
+        if args.out:
+            result.write.mode("overwrite").json(args.out)
+        else:
+            result.show(50, truncate=False)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.temporal import iso_utc
 from orderloom.operators.lifecycle import MILESTONES, order_lifecycle, timeline, with_hours
+from orderloom.schemas import DOCUMENT
 
 CURRENCY = "SGD"
 SOURCE = "mysql-snapshot"
@@ -19,10 +20,7 @@ PAGE_ITEMS = 50_000
 # shuffle, where AQE splits hot partitions.
 MAX_BROADCAST_ORDERS = 1_000_000
 
-ITEM_TYPE = (
-    "array<struct<listing_id:string, quantity:int, extended_price:double,"
-    " product:struct<name:string, category:string, seller_id:string, price_at_purchase:double>>>"
-)
+ITEM_TYPE = DOCUMENT["items"].dataType
 
 
 def enrich_items(items: DataFrame, listings: DataFrame) -> DataFrame:

@@ -33,8 +33,9 @@ class Table:
     fields: tuple[Field, ...]
     key: tuple[str, ...]
     references: tuple[Reference, ...] = ()
-    # Columns the stored table is split into folders by.
+    # Storage layout: columns that become folders, and columns looked up by value.
     folders: tuple[str, ...] = ()
+    lookups: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -60,6 +61,7 @@ CUSTOMERS = Table(
         _text("city", 64, required=False),
     ),
     key=("customer_id",),
+    lookups=("customer_id", "email"),
 )
 
 LISTINGS = Table(
@@ -74,6 +76,7 @@ LISTINGS = Table(
         Field("listing_date", T.DateType()),
     ),
     key=("listing_id",),
+    lookups=("listing_id", "seller_id"),
 )
 
 ORDERS = Table(
@@ -81,6 +84,7 @@ ORDERS = Table(
     (Field("order_id", T.IntegerType()), _text("customer_id", 16)),
     key=("order_id",),
     references=(Reference(("customer_id",), "customers", "restrict"),),
+    lookups=("order_id", "customer_id"),
 )
 
 ORDER_ITEMS = Table(
@@ -96,6 +100,7 @@ ORDER_ITEMS = Table(
         Reference(("order_id",), "orders", "cascade"),
         Reference(("listing_id",), "listings", "restrict"),
     ),
+    lookups=("order_id", "listing_id"),
 )
 
 STATUS_HISTORY = Table(
@@ -110,6 +115,7 @@ STATUS_HISTORY = Table(
     references=(Reference(("order_id", "listing_id"), "order_items", "cascade"),),
     # The analytic questions each concern one or two statuses.
     folders=("order_status",),
+    lookups=("order_id",),
 )
 
 # Parents come before children: this is also the load order.
@@ -127,3 +133,35 @@ EVENT_COLUMNS = (
     "event_timestamp",
     "order_status",
 )
+
+DOCUMENTS = "order_documents"
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_STRING, _DOUBLE = T.StringType(), T.DoubleType()
+
+_PRODUCT = _struct(
+    name=_STRING, category=_STRING, seller_id=_STRING, price_at_purchase=_DOUBLE
+)
+_ITEM = _struct(
+    listing_id=_STRING, quantity=T.IntegerType(), extended_price=_DOUBLE, product=_PRODUCT
+)
+
+# One order with its items, milestones and totals.
+DOCUMENT = _struct(
+    _id=_STRING,
+    order_id=_STRING,
+    customer=_struct(customer_id=_STRING),
+    items=T.ArrayType(_ITEM),
+    status_timeline=T.ArrayType(_struct(status=_STRING, at=_STRING)),
+    current_status=_STRING,
+    placed_at=_STRING,
+    shipped_at=_STRING,
+    delivered_at=_STRING,
+    payment=_struct(currency=_STRING, subtotal=_DOUBLE, total=_DOUBLE),
+    metrics=_struct(hours_to_ship=_DOUBLE, hours_to_deliver=_DOUBLE),
+    audit=_struct(source=_STRING, snapshot_ts=_STRING),
+)

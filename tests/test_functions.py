@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +166,20 @@ def test_numbers(column):
 def test_prices(column):
     cells = ["$12.50", " $25.00 ", "$1,299.00", "free", "$"]
     assert column(numeric.parse_price, cells) == [12.5, 25.0, 1299.0, None, None]
+
+
+def test_repair_agrees_with_list_slicing_on_random_lines(spark):
+    rng = random.Random(7)
+    pieces = ["a", " b ", "", "  ", "Mar 05", "2023", '"q"', "x y", "\t"]
+    lines = [",".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))) for _ in range(400)]
+    for columns, date_index in ((CUSTOMER, 4), (LISTING, 6), (CUSTOMER, 0)):
+        width, tail = len(columns), len(columns) - date_index - 1
+        want = []
+        for line in lines:
+            cells = [c.strip() for c in line.split(",")]
+            if len(cells) > width:
+                end = len(cells) - tail
+                cells = cells[:date_index] + [" ".join(cells[date_index:end])] + cells[end:]
+            cells += [""] * (width - len(cells))
+            want.append([c.strip() for c in cells])
+        assert repaired(spark, lines, columns, date_index)[0] == want

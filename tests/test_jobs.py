@@ -5,7 +5,8 @@ from decimal import Decimal
 
 import pytest
 
-from orderloom.plans import jobs
+from orderloom.__main__ import main
+from orderloom.plans import jobs, reports
 from orderloom.schemas import CUSTOMERS, ORDER_ITEMS, STATUS_HISTORY, TABLES
 from orderloom.sources.store import TableStore
 
@@ -67,7 +68,7 @@ def test_pipeline_is_repeatable(spark, raw, tmp_path):
     jobs.load_tables(spark, clean, root)
     assert contents(spark, root) == tables
     assert jobs.snapshot_orders(spark, root) == {"upserted": 0, "modified": 0, "matched": 2}
-    docs = {r._id: r for r in TableStore(spark, root).read_path(jobs.DOCUMENTS).collect()}
+    docs = {r._id: r for r in TableStore(spark, root).read_documents().collect()}
     assert docs["1"].payment.total == 81.99 and docs["1"].metrics.hours_to_ship == 3.5
     assert [s.status for s in docs["1"].status_timeline] == ["PLACED", "SHIPPED", "DELIVERED"]
 
@@ -110,3 +111,50 @@ def test_bad_rows_stop_the_load_or_are_set_aside(spark, raw, tmp_path):
     assert sorted((r.order_id, r.listing_id) for r in items) == [
         (1, "L1"), (1, "L2"), (2, "L2"), (5, "L1"),
     ]
+
+
+def test_reports_over_published_data(spark, raw, tmp_path, capsys):
+    clean, root = str(tmp_path / "clean"), str(tmp_path / "store")
+    main(["clean", str(raw), clean])
+    main(["load", clean, root])
+    main(["snapshot", root])
+    main(["report", root, "counts"])
+    assert "order_documents" in capsys.readouterr().out
+    store = TableStore(spark, root)
+
+    def run(name, *arguments):
+        return [tuple(r) for r in reports.REPORTS[name](store, *arguments).collect()]
+
+    assert run("top-sellers", "3") == [("TECH", "S1", Decimal("72.00"))]
+    assert run("placed-to-shipped") == [(Decimal("3.0000"), Decimal("210.0000"), 1)]
+    assert run("mom-growth") == [("2024-01-01", Decimal("72.00"), None, None)]
+    assert [r[0] for r in run("order", "2")] == ["2"]
+    assert [r[0] for r in run("customer", "c1")] == ["1"]
+    assert [r[0] for r in run("status", "PLACED")] == ["2"]
+    by_hand = """
+        SELECT category, seller_id, sum(quantity * price_at_purchase) AS revenue
+        FROM order_items JOIN listings USING (listing_id)
+        WHERE (order_id, listing_id) IN (SELECT order_id, listing_id
+            FROM order_item_status_history WHERE order_status = 'DELIVERED')
+        GROUP BY category, seller_id"""
+    assert run("sql", by_hand) == run("top-sellers")
+    main(["report", root, "status", "PLACED", "--out", str(tmp_path / "json")])
+    assert [r.order_id for r in spark.read.json(str(tmp_path / "json")).collect()] == ["2"]
+
+
+def test_lookups_prune_folders_and_push_filters(spark, raw, tmp_path):
+    clean, root = str(tmp_path / "clean"), str(tmp_path / "store")
+    jobs.clean_files(spark, str(raw), clean)
+    jobs.load_tables(spark, clean, root)
+    jobs.snapshot_orders(spark, root)
+    store = TableStore(spark, root)
+
+    def plan(name, *arguments):
+        df = reports.REPORTS[name](store, *arguments)
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "EqualTo(order_id,2)" in plan("order", "2")
+    assert "EqualTo(customer.customer_id,c1)" in plan("customer", "c1")
+    assert "current_status" in plan("status", "PLACED").split("PartitionFilters: [")[1].split("]")[0]
+    shipped = plan("placed-to-shipped").split("PartitionFilters: [")[1].split("]")[0]
+    assert "order_status" in shipped and "PLACED" in shipped
