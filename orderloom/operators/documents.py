@@ -9,6 +9,7 @@ from orderloom.functions.temporal import iso_utc
 from orderloom.operators.lifecycle import MILESTONES, order_lifecycle, timeline, with_hours
 from orderloom.schemas import DOCUMENT
 
+# Fixed values every document carries.
 CURRENCY = "SGD"
 SOURCE = "mysql-snapshot"
 

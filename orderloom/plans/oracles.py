@@ -528,17 +528,20 @@ enriched AS (
   FROM items LEFT JOIN listings USING (listing_id))"""
 
 _oracle("order_items_enriched", "SELECT * FROM enriched", BASE, ENRICHED)
+ITEM_ROWS = """
+item_rows AS (
+  SELECT order_id,
+         CAST(ROW_NUMBER() OVER (PARTITION BY order_id
+                                 ORDER BY CAST(listing_id AS VARCHAR)) - 1 AS INT) AS position,
+         CAST(listing_id AS VARCHAR) AS listing_id, quantity, extended_price,
+         name AS product_name, category, seller_id,
+         CAST(price_at_purchase AS DOUBLE) AS price_at_purchase
+  FROM enriched)"""
+_oracle("order_items_array", "SELECT * FROM item_rows", BASE, ENRICHED, ITEM_ROWS)
 _oracle(
-    "order_items_array",
-    """SELECT order_id,
-              CAST(ROW_NUMBER() OVER (PARTITION BY order_id
-                                      ORDER BY CAST(listing_id AS VARCHAR)) - 1 AS INT)
-                AS position,
-              CAST(listing_id AS VARCHAR) AS listing_id, quantity, extended_price,
-              name AS product_name, category, seller_id,
-              CAST(price_at_purchase AS DOUBLE) AS price_at_purchase
-       FROM enriched""",
-    BASE, ENRICHED,
+    "order_snapshot_items",
+    "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM item_rows",
+    BASE, ENRICHED, ITEM_ROWS,
 )
 _oracle(
     "order_milestones",
@@ -554,17 +557,20 @@ _oracle(
     BASE, ORDERS_FLAT,
 )
 _oracle("order_payment", "SELECT order_id, subtotal FROM totals", BASE, ORDERS_FLAT)
+TIMELINE_ROWS = f"""
+timeline_rows AS (
+  SELECT order_id,
+         CAST(ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY step) - 1 AS INT) AS position,
+         status, {_iso('ts')} AS at
+  FROM (SELECT order_id, 1 AS step, 'PLACED' AS status, placed AS ts FROM first_times
+        UNION ALL SELECT order_id, 2, 'SHIPPED', shipped FROM first_times
+        UNION ALL SELECT order_id, 3, 'DELIVERED', delivered FROM first_times)
+  WHERE ts IS NOT NULL)"""
+_oracle("status_timeline", "SELECT * FROM timeline_rows", BASE, ORDERS_FLAT, TIMELINE_ROWS)
 _oracle(
-    "status_timeline",
-    f"""SELECT order_id,
-               CAST(ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY step) - 1 AS INT)
-                 AS position,
-               status, {_iso('ts')} AS at
-        FROM (SELECT order_id, 1 AS step, 'PLACED' AS status, placed AS ts FROM first_times
-              UNION ALL SELECT order_id, 2, 'SHIPPED', shipped FROM first_times
-              UNION ALL SELECT order_id, 3, 'DELIVERED', delivered FROM first_times)
-        WHERE ts IS NOT NULL""",
-    BASE, ORDERS_FLAT,
+    "order_snapshot_timeline",
+    "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM timeline_rows",
+    BASE, ORDERS_FLAT, TIMELINE_ROWS,
 )
 _oracle("order_snapshot_flat", "SELECT * FROM flat", BASE, ORDERS_FLAT)
 _oracle("order_lookup", f"SELECT * FROM flat WHERE _id = '{LOOKUP_ORDER}'", BASE, ORDERS_FLAT)

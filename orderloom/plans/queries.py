@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
@@ -414,10 +414,8 @@ def order_items_enriched(m):
     return documents.enrich_items(m.items, m.listings).drop("amount")
 
 
-@query
-def order_items_array(m):
-    """The item arrays unrolled again, with each item's position."""
-    arrays = documents.order_items_array(m.items, m.listings)
+def _unrolled_items(arrays: DataFrame) -> DataFrame:
+    """One row per array element, with its position."""
     return arrays.select("order_id", F.posexplode("items").alias("position", "item")).select(
         "order_id",
         "position",
@@ -431,6 +429,12 @@ def order_items_array(m):
     )
 
 
+@query
+def order_items_array(m):
+    """The item arrays, unrolled again."""
+    return _unrolled_items(documents.order_items_array(m.items, m.listings))
+
+
 @query
 def order_milestones(m):
     return lifecycle.order_milestones(m.history).withColumns(
@@ -453,13 +457,16 @@ def order_payment(m):
     return documents.order_payment(m.items)
 
 
+def _unrolled_timeline(df: DataFrame, steps: Column) -> DataFrame:
+    return df.select("order_id", F.posexplode(steps).alias("position", "step")).select(
+        "order_id", "position", "step.status", "step.at"
+    )
+
+
 @query
 def status_timeline(m):
-    """The timeline arrays unrolled again."""
-    shown = order_milestones(m).select("order_id", F.posexplode(lifecycle.timeline()))
-    return shown.select(
-        "order_id", F.col("pos").alias("position"), F.col("col.status"), F.col("col.at")
-    )
+    """The timeline arrays, unrolled again."""
+    return _unrolled_timeline(order_milestones(m), lifecycle.timeline())
 
 
 @query
@@ -467,6 +474,18 @@ def order_snapshot(m):
     return _documents(m)
 
 
+@query
+def order_snapshot_items(m):
+    """The items inside the finished documents."""
+    return _unrolled_items(_documents(m))
+
+
+@query
+def order_snapshot_timeline(m):
+    """The timelines inside the finished documents."""
+    return _unrolled_timeline(_documents(m), F.col("status_timeline"))
+
+
 @query
 def order_snapshot_flat(m):
     return documents.flatten(_documents(m))
