@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, secrets
+from orderloom.llm import exact_dedup, secrets, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,30 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     coalesce(n_hex, 0) AS n_hex, coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
 FROM t LEFT JOIN lists USING (n)
 """
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return left.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op10_substring_dedup"] = """
+WITH t AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM t),
+ranked AS (
+    SELECT doc_id, i, row_number() OVER (
+        PARTITION BY md5(array_to_string(w[i:i + 19], ' ')) ORDER BY doc_id, i) AS nth
+    FROM starts),
+gone AS (
+    SELECT DISTINCT doc_id, p FROM (
+        SELECT doc_id, unnest(range(i, i + 20)) AS p FROM ranked WHERE nth > 1)),
+lists AS (SELECT doc_id, list(p) AS lost FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(lost), 0) AS n_removed,
+    sha256(array_to_string(CASE WHEN lost IS NULL THEN w ELSE list_transform(
+        list_filter(range(1, len(w) + 1), lambda p: NOT list_contains(lost, p)), lambda p: w[p]) END, ' ')) AS kept_sha256
+FROM t LEFT JOIN lists USING (doc_id)
+"""
