@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, secrets, substring_dedup
+from orderloom.llm import exact_dedup, secrets, simhash_dedup, substring_dedup
+from orderloom.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,9 +20,17 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))

@@ -5,11 +5,13 @@ Words are the runs of bytes between the six ASCII blanks 0x20 and 0x09-0x0D.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.session import shared_folder
@@ -27,6 +29,14 @@ _blank[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _powers: dict[int, np.ndarray] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it, if it is not installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def handover(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, and a lost
     executor costs no recomputation beyond it.
