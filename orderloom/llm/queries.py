@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, secrets, simhash_dedup, substring_dedup
+from orderloom.llm import exact_dedup, packing, secrets, simhash_dedup, substring_dedup
 from orderloom.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.tokenized(table(spark, folder, "documents"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))

@@ -21,6 +21,8 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
 TWIN_BASE = 0xD6E8FEB86659FD93
 
+NULL_ID = -(1 << 63)
+
 #: Texts hashed together: enough bytes to amortise a numpy call, few enough to stay in cache.
 BLOCK_BYTES = 1 << 20
 
@@ -69,6 +71,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def for_python(doc_id: Column) -> Column:
+    """The id with the least 64-bit number for null: pandas keeps exact integers only without
+    nulls. from_python undoes it."""
+    return F.coalesce(doc_id.cast("long"), F.lit(NULL_ID)).alias("doc_id")
+
+
+def from_python(doc_id: str | Column) -> Column:
+    return F.nullif(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(NULL_ID)).alias("doc_id")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have yet."""
     taken = {c.lower() for c in df.columns}

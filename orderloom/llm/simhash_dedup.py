@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.graph import components
-from orderloom.llm.shared import handover, keyed, mix
+from orderloom.llm.shared import for_python, from_python, handover, keyed, mix
 
 #: Differing bits of a link; the way around crowded signatures is exact for this bound.
 MAX_BITS = 2
@@ -89,11 +89,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                 }
             )
 
-    return (
-        keyed(docs)
-        .withColumn("text", F.col("text").cast("binary"))
-        .mapInPandas(run, "doc_id long, row_key long, fingerprint long")
+    texts = keyed(docs).select(
+        for_python(F.col("doc_id")), "row_key", F.col("text").cast("binary").alias("text")
     )
+    found = texts.mapInPandas(run, "doc_id long, row_key long, fingerprint long")
+    return found.withColumn("doc_id", from_python("doc_id"))
 
 
 def _distances(prints: np.ndarray, mask: int) -> np.ndarray:
@@ -157,10 +157,8 @@ def _links():
     return run
 
 
-def near_links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
-    """Edges (a, b) that connect whatever distinct fingerprints lie within max_bits (at most 2)."""
-    if not 0 <= MAX_BITS <= 2:
-        raise ValueError("the way around crowded signatures is exact up to two bits")
+def near_links(distinct: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect whatever distinct fingerprints lie within MAX_BITS."""
     shared = Window.partitionBy("signature")
     signed = (
         distinct.select("fingerprint")
@@ -179,7 +177,7 @@ def near_links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
     own = F.array(F.col("fingerprint"))
     at_one = F.transform(
         F.sequence(F.lit(0), F.lit(63)),
-        lambda i: F.col("fingerprint").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)),
+        lambda bit: F.col("fingerprint").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit)),
     )
     place = Window.partitionBy("place")
     hubs = (

@@ -40,7 +40,17 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.shared import TWIN_BASE, blocks, handover, hashed_words, keyed, mix, windows
+from orderloom.llm.shared import (
+    TWIN_BASE,
+    blocks,
+    for_python,
+    from_python,
+    handover,
+    hashed_words,
+    keyed,
+    mix,
+    windows,
+)
 
 #: Suffixes of one prefix that a task may hold in memory; a longer prefix splits larger groups.
 GROUP_SUFFIXES = 20_000
@@ -261,9 +271,9 @@ def remove_repeats(docs: DataFrame, width: int = 20, prefix: int = 6) -> DataFra
     known = firsts.select("row_key", F.lit(True).alias("first")).join(cuts, "row_key", "left")
     return (
         texts.join(known, "row_key", "left")
-        .select("doc_id", "text", "first", "cuts")
+        .select(for_python(F.col("doc_id")), "text", "first", "cuts")
         .mapInPandas(_cut(width, depth), "doc_id long, n_words long, n_removed long, kept binary")
-        .select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
+        .select(from_python("doc_id"), "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
     )
 
 
