@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, packing, secrets, simhash_dedup, substring_dedup
+from orderloom.llm import (
+    exact_dedup,
+    line_dedup,
+    packing,
+    secrets,
+    simhash_dedup,
+    substring_dedup,
+)
 from orderloom.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +102,23 @@ FROM t LEFT JOIN lists USING (n)
 """
 
 
+@query
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("whole"))
+
+    def lines(column: str):
+        worded = F.filter(F.split(column, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+        return F.coalesce(F.size(worded), F.lit(0)).cast("long")
+
+    left = line_dedup.drop_repeated_lines(docs)
+    return left.select(
+        "doc_id",
+        lines("whole").alias("n_lines"),
+        (lines("whole") - lines("text")).alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substring_dedup.remove_repeats(table(spark, folder, "documents"))
