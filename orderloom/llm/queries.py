@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
+    decontamination,
     exact_dedup,
     line_dedup,
     packing,
@@ -31,6 +32,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = table(spark, folder, "benchmark")
+    return decontamination.contamination(table(spark, folder, "documents"), benchmark)
+
+
 @query
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.tokenized(table(spark, folder, "documents"))
