@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.llm import (
     decontamination,
     exact_dedup,
+    language_id,
     line_dedup,
     packing,
     secrets,
@@ -67,6 +68,11 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 @query
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.counted(secrets.find_secrets(table(spark, folder, "documents")))
