@@ -13,6 +13,7 @@ from orderloom.llm import (
     language_id,
     line_dedup,
     packing,
+    quality,
     secrets,
     simhash_dedup,
     substring_dedup,
@@ -45,6 +46,12 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return quality.score_quality(table(spark, folder, "documents"), labels)
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
