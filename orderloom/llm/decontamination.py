@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.shared import (
     blocks,
-    fresh,
     handover,
     hashed_words,
     keyed,
     text_of,
     windows,
+    without,
 )
 
 SHINGLE = 5
@@ -47,8 +47,6 @@ SIMILARITY = 0.8
 RADIUS = 23
 #: Item text sent to the tasks at once.
 BLOCK_BYTES = 8 << 20
-#: Contaminated rows up to this number are broadcast to filter documents; beyond, they are joined.
-BROADCAST_ROWS = 500_000
 
 _TABLE_BITS = 20
 
@@ -240,9 +238,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all columns, that quote no item."""
-    found = handover(leaks(docs, benchmark).select("row_key").distinct(), "leaks")
-    if found.count() <= BROADCAST_ROWS:
-        found = F.broadcast(found)
-    key = fresh(docs, "row_key")
-    rows = docs.withColumn(key, F.xxhash64(docs["doc_id"].cast("long"), text_of(docs)))
-    return rows.join(found.withColumnRenamed("row_key", key), key, "left_anti").select(*docs.columns)
+    return without(docs, leaks(docs, benchmark))

@@ -17,6 +17,7 @@ from orderloom.llm import (
     secrets,
     simhash_dedup,
     substring_dedup,
+    toxicity,
 )
 from orderloom.llm.shared import importable
 
@@ -34,6 +35,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return toxicity.score_toxicity(table(spark, folder, "documents"), labels)
+
+
 @query
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = table(spark, folder, "benchmark")

@@ -26,6 +26,9 @@ NULL_ID = -(1 << 63)
 #: Texts hashed together: enough bytes to amortise a numpy call, few enough to stay in cache.
 BLOCK_BYTES = 1 << 20
 
+#: Row keys (8 bytes each) that may be broadcast.
+BROADCAST_ROWS = 500_000
+
 _blank = np.zeros(256, dtype=bool)
 _blank[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _powers: dict[int, np.ndarray] = {}
@@ -89,6 +92,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs, with all columns, whose row key is not among keys(row_key).
+
+    The keys are written and counted: up to BROADCAST_ROWS of them are broadcast, more are joined
+    by shuffle.
+    """
+    keys = handover(keys.select("row_key").distinct(), "row-keys")
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    key = fresh(docs, "row_key")
+    rows = docs.withColumn(key, F.xxhash64(docs["doc_id"].cast("long"), text_of(docs)))
+    return rows.join(keys.withColumnRenamed("row_key", key), key, "left_anti").select(*docs.columns)
+
+
 def crc_fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo the given number; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

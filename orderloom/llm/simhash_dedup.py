@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.graph import components
-from orderloom.llm.shared import for_python, from_python, handover, keyed, mix
+from orderloom.llm.shared import for_python, from_python, fresh, handover, keyed, mix, text_of, without
+
+LAST = (1 << 63) - 1
 
 #: Differing bits of a link; the way around crowded signatures is exact for this bound.
 MAX_BITS = 2
@@ -193,9 +195,10 @@ def near_links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, row_key, fingerprint (long) and component_id for every row of docs.
+    """doc_id, row_key, fingerprint (long), component and component_id for every row of docs.
 
-    component_id is the smallest doc_id among all documents that chains of links reach.
+    component is the least fingerprint that chains of links reach, component_id the smallest
+    doc_id of all documents they reach.
     """
     rows = handover(fingerprints(docs, shingle), "fingerprints")
     distinct = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
@@ -204,5 +207,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
         "component", F.coalesce("component", "fingerprint")
     )
     named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = labelled.join(named, "component").select("fingerprint", "component_id")
+    known = labelled.join(named, "component").select("fingerprint", "component", "component_id")
     return rows.join(known, "fingerprint")
+
+
+def keep_one_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One row of each component, with all columns: that of the smallest doc_id.
+
+    Null ids come last; among rows with the same id the least key stays, and among rows equal in
+    id and text any one.
+    """
+    rows = handover(near_duplicates(docs, shingle).select("row_key", "doc_id", "component"), "rows")
+    place = F.struct(F.coalesce("doc_id", F.lit(LAST)), "row_key")
+    chosen = rows.groupBy("component").agg(F.min(place)["row_key"].alias("row_key"))
+    kept = without(docs, rows.join(chosen, "row_key", "left_anti"))
+    several = rows.groupBy("row_key").count().where("count > 1")
+    several = handover(several.join(chosen, "row_key", "left_semi").select("row_key"), "repeats")
+    if several.isEmpty():
+        return kept
+    key = fresh(docs, "row_key")
+    repeats = kept.withColumn(key, F.xxhash64(kept["doc_id"].cast("long"), text_of(kept))).join(
+        several.withColumnRenamed("row_key", key), key, "left_semi"
+    )
+    return without(kept, several).union(repeats.dropDuplicates([key]).select(*docs.columns))
