@@ -136,8 +136,6 @@ def _patterns(counts: np.ndarray, capacity: int) -> np.ndarray:
 
     def close(parts: np.ndarray, rest: np.ndarray) -> None:
         """Add the longest present length that still fits, if it leaves little."""
-        if not len(present):
-            return
         at = np.searchsorted(present, rest, side="right") - 1
         last = present[np.maximum(at, 0)]
         # Lengths in falling order, so each set of lengths appears once.
@@ -215,9 +213,9 @@ class Plan:
             self.sequences += count
 
     def _repeat_patterns(self) -> None:
-        patterns = _patterns(self.left, self.capacity)
-        if not len(patterns):
+        if not self.left.any():
             return
+        patterns = _patterns(self.left, self.capacity)
         repeats = np.floor(_fitted(patterns, self.left)).astype(np.int64)
         for i in np.argsort(-repeats, kind="stable"):
             if not repeats[i]:

@@ -1,0 +1,325 @@
+"""Operators against SQL, or against plain Python where SQL cannot state them."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from orderloom.llm import (
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    packing,
+    secrets,
+    simhash_dedup,
+    substring_dedup,
+)
+from orderloom.llm.queries import ORACLES, QUERIES
+from tests.compare import compare, duck, rows_of
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_sql(spark, name):
+    connection = duck(FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
+    result = connection.sql(ORACLES[name])
+    assert sorted(frame.columns) == sorted(result.columns)
+    assert rows_of(frame.columns, frame.collect()) == rows_of(result.columns, result.fetchall())
+
+
+def test_compare_helper_covers_the_registered_queries(spark):
+    assert compare(spark, duck(FOLDER), FOLDER, "op6_exact_dedup")[0] is None
+
+
+def test_substrings(spark, texts):
+    found = QUERIES["op10_substring_dedup"](spark, FOLDER).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == (
+        substring_dedup.brute_force(texts)
+    )
+
+
+@pytest.mark.parametrize("limit", [0, 20_000])
+def test_substrings_of_a_tiny_alphabet(make_docs, monkeypatch, limit):
+    """Runs, nested repeats and copies; with every prefix lengthened, and with none."""
+    monkeypatch.setattr(substring_dedup, "GROUP_SUFFIXES", limit)
+    random = np.random.default_rng(3)
+    rows = [(i, " ".join(random.choice(list("ab"), size=n))) for i, n in enumerate(range(0, 90, 3))]
+    rows += [(100 + i, rows[20 + i][1]) for i in range(5)] + [(200, "a " * 60)]
+    found = substring_dedup.remove_repeats(make_docs(rows)).collect()
+    got = {
+        r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest())
+        for r in found
+    }
+    assert got == substring_dedup.brute_force(rows)
+
+
+def test_lines(spark, texts):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert found == line_dedup.brute_force(texts)
+
+
+def test_lines_within_one_word(make_docs):
+    random = np.random.default_rng(5)
+    base = [str(w) for w in random.integers(0, 50, 12)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        at = int(random.integers(0, len(words)))
+        kind = i % 4
+        if kind == 0:
+            words[at] = "new"
+        elif kind == 1:
+            del words[at]
+        elif kind == 2:
+            words.insert(at, str(i))
+        else:
+            words[at], words[at - 3] = "x", "y"
+        rows.append((60 - i, "  ".join(words) + f"\n\nshort {i % 3}\n" + " ".join(words[:9])))
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(make_docs(rows)).collect()}
+    assert found == line_dedup.brute_force(rows)
+
+
+@given(st.lists(st.integers(0, 3), max_size=8), st.lists(st.integers(0, 3), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_within_one(a, b):
+    def one_edit(x):
+        yield x
+        for i in range(len(x)):
+            yield x[:i] + x[i + 1 :]
+            yield from (x[:i] + [c] + x[i + 1 :] for c in range(4))
+        for i in range(len(x) + 1):
+            yield from (x[:i] + [c] + x[i:] for c in range(4))
+
+    assert line_dedup.within_one(a, b) == (b in list(one_edit(a)))
+
+
+def plain_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints):
+    parent = {i: i for i in prints}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(prints)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in ids}
+
+
+def test_simhash(spark, texts):
+    prints = {i: plain_fingerprint(t or "") for i, t in texts}
+    components = plain_components(prints)
+    found = QUERIES["op5_simhash_dedup"](spark, FOLDER).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in found} == {
+        i: (f"{prints[i]:016x}", components[i]) for i in prints
+    }
+
+
+@pytest.mark.parametrize("crowd", [2, 32, 1000])
+def test_simhash_links_in_crowds(spark, make_docs, monkeypatch, crowd):
+    """Chains and clusters of close fingerprints, by pairs and by the way around crowds."""
+    monkeypatch.setattr(simhash_dedup, "CROWD", crowd)
+    random = np.random.default_rng(1)
+    prints = set()
+    for center in random.integers(0, 1 << 63, 6):
+        value = int(center)
+        for _ in range(40):
+            prints.add(value)
+            for bit in random.integers(0, 64, int(random.integers(1, 5))):
+                value ^= 1 << int(bit)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    make_docs([])  # lets workers find the package
+    frame = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    edges = [(r.a, r.b) for r in simhash_dedup.near_links(frame).collect()]
+    unsigned = {p: p & ((1 << 64) - 1) for p in signed}
+    assert all((unsigned[a] ^ unsigned[b]).bit_count() <= 2 for a, b in edges)
+    parent = {p: p for p in signed}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    assert {p: root(p) for p in signed} == plain_components(unsigned)
+
+
+def test_packing(spark, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {}
+    for doc_id, text in texts:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        for i in range(0, len(ids), 2048):
+            part = np.array(ids[i : i + 2048], dtype="<u4")
+            want[doc_id, i // 2048] = (i, len(part), zlib.crc32(part.tobytes()))
+    rows = QUERIES["op3_best_fit_packing"](spark, FOLDER).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want
+    check_places([(r.sequence_id, r.offset, r.length) for r in rows], 2048)
+    tokens = sum(n for _, n, _ in want.values())
+    assert len({r.sequence_id for r in rows}) <= 1.02 * tokens / 2048 + 1
+
+
+def check_places(rows, capacity):
+    by = defaultdict(list)
+    for sequence, offset, length in rows:
+        by[sequence].append((offset, length))
+    for held in by.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= capacity
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=30))
+@settings(max_examples=100, deadline=None)
+def test_plan_places_every_piece_once(histogram):
+    plan = packing.Plan(histogram, 64)
+    rows = []
+    for length, count in histogram.items():
+        sequence, offset = plan.place(np.full(count, length), np.arange(count))
+        rows += [(int(s), int(o), length) for s, o in zip(sequence, offset, strict=True)]
+    check_places(rows, 64)
+    assert len({s for s, _, _ in rows}) == plan.sequences
+
+
+AWKWARD = [
+    "It's 5 o'clock, we'll don't. A.B, x.. é. É, ß. ŉ İstanbul ﬁ Ω Σίσυφος 12345 a1b2",
+    "<|endoftext|> <|ENDOFTEXT|> x<|startoftext|>y tab\tnew\nline\r\x0b\x0c\x1c  end",
+    "中文 字符 é ́x 👩‍👩‍👧 ‍\u0000 z",
+    "",
+]
+
+
+@pytest.mark.parametrize("text", AWKWARD)
+def test_remembered_words_give_the_tokenizers_ids(text):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = np.frombuffer(packing.WordTokenizer(path).encode(text.encode()), dtype="<u4").tolist()
+    assert ids == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@given(st.text(alphabet="aAbé. ,'\n\t3<|>endoftext", max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_remembered_words_on_any_text(text):
+    test_remembered_words_give_the_tokenizers_ids(text)
+
+
+def plain_spans(text):
+    rules = (
+        ("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+        ("access", r"AKIA[A-Z0-9]+", 0, 18),
+        ("hex", r"[0-9a-f]+", 0, 16),
+    )
+    spans = [
+        (m.start(), rank, f"{kind}:{m.start()}:{m.end()}")
+        for rank, (kind, pattern, group, least) in enumerate(rules)
+        for m in re.finditer(pattern, text, re.ASCII)
+        if len(m.group(group)) >= least
+    ]
+    return ",".join(s for _, _, s in sorted(spans))
+
+
+def test_secrets_at_any_place(make_docs):
+    random = np.random.default_rng(2)
+    pieces = ["password", "API_KEY", "apikey", "Token", ":", "=", " ", '"', "abcdef012345", "AKIA", "é", "👩",
+              "deadbeefdeadbeef", "ZZZZZZZZZZZZZZ", "secret=", "\n", "x"]
+    rows = [(i, "".join(random.choice(pieces, size=int(random.integers(0, 30))))) for i in range(300)]
+    found = secrets.counted(secrets.find_secrets(make_docs(rows))).collect()
+    assert {r.doc_id: r.spans for r in found} == {i: plain_spans(t) for i, t in rows}
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query("[0-9a-f]{16,}") == []
+    assert secrets.trigram_query("AKIA[A-Z0-9]{14,}") == [[frozenset({"aki", "kia"})]]
+    assert secrets.trigram_query("a?bcd|xy") == []
+    query = secrets.trigram_query(secrets.RULES[0].pattern)
+    assert len(query) == 1 and frozenset({"tok", "oke", "ken"}) in query[0]
+
+
+def plain_leaks(texts, items):
+    def shingles(words):
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)] or [tuple(words)]
+
+    items = {i: t.lower().encode().split() for i, t in items}
+    held = Counter(s for w in items.values() for s in set(shingles(w)))
+    found = {}
+    for doc_id, text in texts:
+        words = (text or "").lower().encode().split()
+        best = {}
+        for item, own in items.items():
+            if not own or not set(shingles(own)) & set(shingles(words)):
+                continue
+            bag = Counter(shingles(own))
+            for p in range(max(1, len(words) - len(own) + 1)):
+                window = Counter(shingles(words[p : p + len(own)]))
+                both = sum(n / held[s] for s, n in (bag & window).items())
+                either = sum(n / held.get(s, 1) for s, n in (bag | window).items())
+                best[item] = max(best.get(item, 0), both / either)
+        found[doc_id] = sorted(i for i, v in best.items() if v >= 0.8)
+    return found
+
+
+def test_contamination(spark, texts):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    found = QUERIES["op2_decontamination"](spark, FOLDER).collect()
+    assert {r.doc_id: list(r["items"]) for r in found} == plain_leaks(texts, items)
+    assert all(r.contaminated == bool(r["items"]) for r in found)
+
+
+def test_contamination_of_edited_passages(spark, make_docs):
+    random = np.random.default_rng(4)
+    items = [(i, " ".join(f"w{w}" for w in random.integers(0, 400, 30 + i))) for i in range(20)]
+    rows = []
+    for i, text in items:
+        words = text.split()
+        for edits in range(3):
+            copy = list(words)
+            for at in random.integers(0, len(copy), edits):
+                copy[int(at)] = "other"
+            around = " ".join(f"u{w}" for w in random.integers(0, 400, 25))
+            rows.append((10 * i + edits, f"{around} {' '.join(copy)} {around}"))
+        rows.append((10 * i + 3, " ".join(words[: len(words) // 2])))
+        rows.append((10 * i + 4, " ".join(words[1:])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contamination(make_docs(rows), benchmark).collect()
+    assert {r.doc_id: list(r["items"]) for r in found} == plain_leaks(rows, items)
+
+
+def test_exact_duplicates_in_more_rounds(make_docs):
+    rows = [(i, "Same" if i % 3 else f"t{i // 2}") for i in range(100)]
+    docs = make_docs(rows)
+    one = exact_dedup.exact_duplicates(docs, rounds=1, fan_in=2)
+    many = exact_dedup.exact_duplicates(docs, rounds=4, fan_in=2)
+    assert sorted(one.collect()) == sorted(many.collect())
+    smallest = exact_dedup.exact_duplicates(docs, keep="smallest").where("kept").collect()
+    assert sorted(r.doc_id for r in smallest) == sorted({t: i for i, t in reversed(rows)}.values())
