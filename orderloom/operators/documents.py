@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.temporal import iso_utc
@@ -13,14 +13,10 @@ from orderloom.schemas import DOCUMENT
 CURRENCY = "SGD"
 SOURCE = "mysql-snapshot"
 
-# Items one document holds. A crowded order continues on further pages, because a document is
-# a single row and an order may own any share of all items.
+# Items one document holds at most. A larger order goes on in further documents (pages), because a
+# document is a single row and an order may own any share of all items.
 PAGE_ITEMS = 50_000
 
-# Crowded orders are broadcast up to this many (16 bytes each); beyond it they are joined by
-# shuffle, where AQE splits hot partitions.
-MAX_BROADCAST_ORDERS = 1_000_000
-
 ITEM_TYPE = DOCUMENT["items"].dataType
 
 
@@ -71,78 +67,31 @@ def order_payment(items: DataFrame) -> DataFrame:
     return items.withColumn("amount", item_amount()).groupBy("order_id").agg(_subtotal())
 
 
-def crowded_orders(items: DataFrame, page_items: int = PAGE_ITEMS) -> tuple[DataFrame, int]:
-    """Orders with more than ``page_items`` items, the pages each needs, and how many there are.
+def item_pages(enriched: DataFrame, page_items: int = PAGE_ITEMS) -> DataFrame:
+    """(order_id, page, items, subtotal): the items of each order by listing, page by page.
 
-    Counting them runs one job over the order ids. At most one order per ``page_items`` items of
-    the whole table can qualify, and normally none does.
+    An item's page follows from its rank in the order, so no order is counted beforehand and no
+    page exceeds its bound. Ranking streams over an order's sorted rows and spills; grouping by
+    order and page and the order's subtotal keep the partitioning, so there is one shuffle.
     """
-    counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    pages = F.ceil(F.col("n") / F.lit(page_items)).cast("bigint").alias("pages")
-    crowded = counts.filter(F.col("n") > page_items).select("order_id", pages)
-    return crowded, crowded.count()
-
-
-def item_lists(enriched: DataFrame) -> DataFrame:
-    """(order_id, items, subtotal), for orders that fit one page."""
-    return enriched.groupBy("order_id").agg(_item_list(), _subtotal())
-
-
-def paged_item_lists(enriched: DataFrame, crowded: DataFrame, found: int) -> DataFrame:
-    """(order_id, page, items): ``found`` crowded orders dealt onto pages by a listing hash.
-
-    Grouping by order *and* page spreads even one order with most of the items over all tasks.
-    Crowded orders without pages are left out.
-    """
-    plan = crowded.withColumn("_crowded", F.lit(True))
-    if found <= MAX_BROADCAST_ORDERS:
-        plan = F.broadcast(plan)
-    page = F.coalesce(F.pmod(F.xxhash64("listing_id"), F.col("pages")), F.lit(0).cast("bigint"))
-    return (
-        enriched.join(plan, "order_id", "left")
-        .filter("_crowded IS NULL OR pages IS NOT NULL")
+    order = Window.partitionBy("order_id")
+    rank = F.row_number().over(order.orderBy("listing_id", "quantity", "price_at_purchase"))
+    page = F.expr(f"(rank - 1) div {page_items}")
+    pages = (
+        enriched.withColumn("rank", rank)
         .withColumn("page", page)
         .groupBy("order_id", "page")
-        .agg(_item_list())
+        .agg(_item_list(), F.sum("amount").alias("amount"))
     )
+    subtotal = F.sum("amount").over(order).cast("decimal(38,2)")
+    return pages.withColumn("subtotal", subtotal).drop("amount")
 
 
 def order_items_array(
     items: DataFrame, listings: DataFrame, page_items: int = PAGE_ITEMS
 ) -> DataFrame:
-    """(order_id, page, items): the item arrays of all orders, sorted by listing.
-
-    Normally no order is crowded and the arrays take one aggregation.
-    """
-    enriched = enrich_items(items, listings)
-    crowded, found = crowded_orders(items, page_items)
-    if found:
-        return paged_item_lists(enriched, crowded, found)
-    return item_lists(enriched).select("order_id", F.lit(0).cast("bigint").alias("page"), "items")
-
-
-def _with_items(
-    headers: DataFrame, items: DataFrame, listings: DataFrame, page_items: int
-) -> DataFrame:
-    """Order headers joined to their item arrays; one more row per further page."""
-    enriched = enrich_items(items, listings)
-    crowded, found = crowded_orders(items, page_items)
-    first_page = F.lit(0).cast("bigint")
-    if not found:
-        lists = item_lists(enriched)
-        return headers.join(lists, "order_id", "left").withColumn("page", first_page)
-    # Items of a crowded order that does not exist must not fill pages: it gets none.
-    known = headers.select("order_id", F.lit(True).alias("_known"))
-    crowded = crowded.join(known, "order_id", "left").select(
-        "order_id", F.when(F.col("_known"), F.col("pages")).alias("pages")
-    )
-    pages = paged_item_lists(enriched, crowded, found)
-    first_pages = (
-        headers.join(order_payment(items), "order_id", "left")
-        .withColumn("page", first_page)
-        .withColumn("_known", F.lit(True))
-    )
-    return first_pages.join(pages, ["order_id", "page"], "full").filter("_known OR page > 0")
+    """(order_id, page, items): the item arrays of all orders, sorted by listing."""
+    return item_pages(enrich_items(items, listings), page_items).drop("subtotal")
 
 
 def order_snapshot(
@@ -154,9 +103,10 @@ def order_snapshot(
 ) -> DataFrame:
     """One document per order, whether or not it has items or events.
 
-    Items, payment and lifecycle are each reduced to one row per order, so all joins are 1:1 on
-    the order and reuse the aggregations' partitioning. Further pages of a crowded order have
-    ``_id`` = ``<order>#<page>`` and carry the order id and items; the rest is on page 0.
+    Items, payment and lifecycle are each reduced by order, so all joins are on the order and
+    reuse the aggregations' partitioning. An order with more than ``page_items`` items has further
+    documents with ``_id`` = ``<order>#<page>``, each with its share of the items and otherwise
+    equal to the first: any lookup finds all pages of the orders it finds.
     """
     headers = (
         orders.select("order_id", "customer_id")
@@ -164,42 +114,41 @@ def order_snapshot(
         .withColumns({name: iso_utc(F.col(name)) for name in MILESTONES})
     )
     order_id = F.col("order_id").cast("string")
-    first = F.col("page") == 0
     subtotal = F.coalesce(F.col("subtotal").cast("double"), F.lit(0.0))
-
-    def on_first(value: Column) -> Column:
-        return F.when(first, value)
-
-    return _with_items(headers, items, listings, page_items).select(
-        F.when(first, order_id).otherwise(F.concat_ws("#", order_id, "page")).alias("_id"),
+    pages = item_pages(enrich_items(items, listings), page_items)
+    return headers.join(pages, "order_id", "left").select(
+        F.when(F.col("page") > 0, F.concat_ws("#", order_id, "page"))
+        .otherwise(order_id)
+        .alias("_id"),
         order_id.alias("order_id"),
-        on_first(F.struct(F.col("customer_id").cast("string").alias("customer_id"))).alias(
-            "customer"
-        ),
+        F.struct(F.col("customer_id").cast("string").alias("customer_id")).alias("customer"),
         F.coalesce("items", F.array().cast(ITEM_TYPE)).alias("items"),
-        on_first(timeline()).alias("status_timeline"),
+        timeline().alias("status_timeline"),
         "current_status",
         *MILESTONES,
-        on_first(
-            F.struct(
-                F.lit(CURRENCY).alias("currency"),
-                subtotal.alias("subtotal"),
-                subtotal.alias("total"),
-            )
+        F.struct(
+            F.lit(CURRENCY).alias("currency"),
+            subtotal.alias("subtotal"),
+            subtotal.alias("total"),
         ).alias("payment"),
-        on_first(F.struct("hours_to_ship", "hours_to_deliver")).alias("metrics"),
+        F.struct("hours_to_ship", "hours_to_deliver").alias("metrics"),
         F.struct(
             F.lit(SOURCE).alias("source"), iso_utc(F.current_timestamp()).alias("snapshot_ts")
         ).alias("audit"),
     )
 
 
+def first_pages(documents: DataFrame) -> DataFrame:
+    """One document of each order."""
+    return documents.filter(F.col("_id") == F.col("order_id"))
+
+
 def flatten(documents: DataFrame) -> DataFrame:
-    """Scalar columns of the documents' first pages, one row per order."""
-    return documents.filter(F.col("_id") == F.col("order_id")).select(
-        "_id",
+    """Scalar columns of the documents, one row per order; items are counted over all pages."""
+    scalars = documents.select(
+        F.col("order_id").alias("_id"),
         F.col("customer.customer_id").alias("customer_id"),
-        F.size("items").alias("item_count"),
+        F.size("items").alias("page_items"),
         F.size("status_timeline").alias("timeline_length"),
         "current_status",
         *MILESTONES,
@@ -209,6 +158,9 @@ def flatten(documents: DataFrame) -> DataFrame:
         F.col("metrics.hours_to_ship").alias("hours_to_ship"),
         F.col("metrics.hours_to_deliver").alias("hours_to_deliver"),
     )
+    keys = [c for c in scalars.columns if c != "page_items"]
+    counted = scalars.groupBy(*keys).agg(F.sum("page_items").cast("int").alias("item_count"))
+    return counted.select(*keys[:2], "item_count", *keys[2:])
 
 
 def documents_of(
@@ -239,7 +191,7 @@ def order_document(
 
 
 def order_lookup(documents: DataFrame, order_id: object) -> DataFrame:
-    """All pages of one order; normally one document."""
+    """All pages of one order."""
     return documents.filter(F.col("order_id") == str(order_id))
 
 

@@ -42,8 +42,8 @@ def seller_category_revenue(
     )
 
 
-def ranked_sellers(revenue: DataFrame, x: int) -> DataFrame:
-    """The first ``x`` sellers of each category with their position ``rn``; ties by seller.
+def ranked_sellers(revenue: DataFrame, x: int | None = None) -> DataFrame:
+    """Each seller's position ``rn`` in its category, ties by seller; with ``x`` the first ``x``.
 
     The rank bound sits on the window, so each task keeps only its own top ``x`` per category
     before the shuffle and a category with most of the sellers stays small.
@@ -51,7 +51,8 @@ def ranked_sellers(revenue: DataFrame, x: int) -> DataFrame:
     best_first = Window.partitionBy("category").orderBy(
         F.col("revenue").desc_nulls_last(), "seller_id"
     )
-    return revenue.withColumn("rn", F.row_number().over(best_first)).filter(F.col("rn") <= x)
+    ranked = revenue.withColumn("rn", F.row_number().over(best_first))
+    return ranked if x is None else ranked.filter(F.col("rn") <= x)
 
 
 def top_sellers(
@@ -87,14 +88,14 @@ def category_revenue_ci(
 
 def monthly_revenue(items: DataFrame, history: DataFrame) -> DataFrame:
     """Revenue by the month of each item's first delivery."""
-    delivered_at = (
+    arrivals = (
         history.filter(F.col("order_status") == DELIVERED)
         .groupBy(*ITEM_KEY)
-        .agg(F.min("status_timestamp").alias("delivered_ts"))
+        .agg(month_start(F.min("status_timestamp")).alias("month_start"))
     )
     return (
-        items.join(delivered_at, ITEM_KEY)
-        .groupBy(month_start(F.col("delivered_ts")).alias("month_start"))
+        items.join(arrivals, ITEM_KEY)
+        .groupBy("month_start")
         .agg(F.sum(item_revenue()).cast(REVENUE).alias("monthly_revenue"))
     )
 

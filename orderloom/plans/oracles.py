@@ -64,14 +64,16 @@ ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY revenue DESC, seller_id) AS rn
   FROM seller_revenue)"""
 
+# An item's last event carries its quantity and price; its month is that of its first delivery.
 MONTHLY = """
-delivered_at AS (
-  SELECT order_id, listing_id, MIN(status_timestamp) AS delivered_ts
-  FROM history WHERE order_status = 'DELIVERED' GROUP BY order_id, listing_id),
 monthly AS (
-  SELECT strftime(delivered_ts, '%Y-%m-01') AS month_start,
-         CAST(SUM(quantity * price_at_purchase) AS DECIMAL(38,2)) AS monthly_revenue
-  FROM items JOIN delivered_at USING (order_id, listing_id) GROUP BY 1)"""
+  SELECT month_start, CAST(SUM(amount) AS DECIMAL(38,2)) AS monthly_revenue FROM (
+    SELECT strftime(MIN(event_timestamp) FILTER (order_status = 'DELIVERED'), '%Y-%m-01')
+             AS month_start,
+           arg_max(quantity * price_at_purchase,
+                   {'at': event_timestamp, 'q': quantity, 'p': price_at_purchase}) AS amount
+    FROM order_events GROUP BY order_id, listing_id)
+  WHERE month_start IS NOT NULL GROUP BY month_start)"""
 
 
 def _iso(ts: str) -> str:
@@ -123,12 +125,14 @@ def _oracle(name: str, body: str, *relations: str) -> None:
 
 _oracle(
     "scan_projected",
-    """SELECT 'orders' AS table_name, order_id AS key_1, customer_id AS key_2,
-              CAST(NULL AS VARCHAR) AS label FROM order_heads
-       UNION ALL SELECT 'order_items', order_id, listing_id, CAST(quantity AS VARCHAR) FROM items
-       UNION ALL SELECT 'listings', listing_id, NULL, product_name FROM listings
-       UNION ALL SELECT 'order_item_status_history', order_id, listing_id, order_status
-       FROM history""",
+    """SELECT 'orders' AS table_name, order_id AS key_1, customer_id AS key_2, '' AS label
+       FROM order_heads
+       UNION ALL SELECT 'order_items', order_id, listing_id,
+                        concat_ws('|', quantity, price_at_purchase) FROM items
+       UNION ALL SELECT 'listings', listing_id, NULL,
+                        concat_ws('|', product_name, category, seller_id) FROM listings
+       UNION ALL SELECT 'order_item_status_history', order_id, listing_id,
+                        concat_ws('|', status_timestamp, order_status) FROM history""",
     BASE,
 )
 
@@ -402,6 +406,8 @@ _oracle(
        UNION ALL SELECT 'listings', concat_ws('|', listing_id, product_name, category, seller_id,
                                               price, stock_quantity, listing_date) FROM listings
        UNION ALL SELECT DISTINCT 'orders', concat_ws('|', order_id, customer_id) FROM order_events
+       UNION ALL SELECT 'order_items',
+                        concat_ws('|', order_id, listing_id, quantity, price_at_purchase) FROM items
        UNION ALL SELECT DISTINCT 'order_item_status_history',
                         concat_ws('|', order_id, listing_id, status_timestamp, order_status)
        FROM history""",
@@ -471,7 +477,7 @@ _oracle(
 _oracle("delivered_items", "SELECT items.* FROM items JOIN delivered USING (order_id, listing_id)",
         BASE, SOLD)
 _oracle("seller_category_revenue", "SELECT * FROM seller_revenue", BASE, SOLD)
-_oracle("ranked_sellers", "SELECT * REPLACE (CAST(rn AS INT) AS rn) FROM ranked WHERE rn <= 10",
+_oracle("ranked_sellers", "SELECT * REPLACE (CAST(rn AS INT) AS rn) FROM ranked",
         BASE, SOLD)
 for _name, _x in (("top_sellers", 1), ("top5_sellers", 5)):
     _oracle(
@@ -497,15 +503,12 @@ _oracle(
 )
 _oracle(
     "avg_placed_to_shipped",
-    """SELECT CAST(AVG(date_sub('hour', t_placed, t_shipped)) AS DECIMAL(24,4)) AS avg_hours,
-              CAST(AVG(date_sub('minute', t_placed, t_shipped)) AS DECIMAL(24,4)) AS avg_minutes,
+    """SELECT CAST(AVG(date_sub('hour', started, left_at)) AS DECIMAL(24,4)) AS avg_hours,
+              CAST(AVG(date_sub('minute', started, left_at)) AS DECIMAL(24,4)) AS avg_minutes,
               COUNT(*) AS items_count
-       FROM (SELECT order_id, listing_id, MIN(status_timestamp) AS t_placed
-             FROM history WHERE order_status = 'PLACED' GROUP BY ALL) p
-       JOIN (SELECT order_id, listing_id, MIN(status_timestamp) AS t_shipped
-             FROM history WHERE order_status = 'SHIPPED' GROUP BY ALL) s
-       USING (order_id, listing_id)
-       WHERE t_shipped >= t_placed""",
+       FROM (SELECT MIN(event_timestamp) FILTER (order_status = 'PLACED') AS started,
+                    MIN(event_timestamp) FILTER (order_status = 'SHIPPED') AS left_at
+             FROM order_events GROUP BY order_id, listing_id HAVING left_at >= started)""",
     BASE,
 )
 _oracle("monthly_revenue", "SELECT * FROM monthly", BASE, MONTHLY)
@@ -573,6 +576,22 @@ _oracle(
     BASE, ORDERS_FLAT, TIMELINE_ROWS,
 )
 _oracle("order_snapshot_flat", "SELECT * FROM flat", BASE, ORDERS_FLAT)
+_oracle(
+    "order_snapshot",
+    """SELECT flat.* EXCLUDE (item_count, timeline_length), flat._id AS order_id,
+              COALESCE(lines.items, '') AS items, COALESCE(steps.timeline, '') AS status_timeline,
+              'mysql-snapshot' AS source
+       FROM flat
+       LEFT JOIN (SELECT CAST(order_id AS VARCHAR) AS _id, string_agg(concat_ws('|',
+                    listing_id, quantity, CAST(extended_price AS DECIMAL(20,2)), name, category,
+                    seller_id, CAST(price_at_purchase AS DECIMAL(20,2))), ';'
+                    ORDER BY CAST(listing_id AS VARCHAR)) AS items
+                  FROM enriched GROUP BY order_id) lines USING (_id)
+       LEFT JOIN (SELECT CAST(order_id AS VARCHAR) AS _id,
+                         string_agg(concat_ws('|', status, "at"), ';' ORDER BY position) AS timeline
+                  FROM timeline_rows GROUP BY order_id) steps USING (_id)""",
+    BASE, ORDERS_FLAT, TIMELINE_ROWS, ENRICHED,
+)
 _oracle("order_lookup", f"SELECT * FROM flat WHERE _id = '{LOOKUP_ORDER}'", BASE, ORDERS_FLAT)
 _oracle(
     "customer_orders",
@@ -666,6 +685,24 @@ ORACLES["audit_nulls"] = " UNION ALL ".join(
             ["customer_id", "first_name", "last_name", "join_date"],
         ),
         ("listings", (*LISTINGS_REPAIRED, LISTING_CELLS, CLEAN_LISTINGS), _LISTING),
+        (
+            "orders",
+            (BASE, """clean_orders AS (
+               SELECT order_id, NULLIF(customer_id % 5, 0) AS customer_id FROM order_heads)"""),
+            ["order_id", "customer_id"],
+        ),
+        (
+            "order_items",
+            (BASE, """clean_order_items AS (
+               SELECT * REPLACE (NULLIF(quantity, 7) AS quantity) FROM items)"""),
+            ["order_id", "listing_id", "quantity", "price_at_purchase"],
+        ),
+        (
+            "order_item_status_history",
+            (BASE, """clean_order_item_status_history AS (
+               SELECT * REPLACE (NULLIF(order_status, 'CANCELLED') AS order_status) FROM history)"""),
+            ["order_id", "listing_id", "status_timestamp", "order_status"],
+        ),
     )
 )
 
@@ -676,31 +713,62 @@ def _domain(table: str, relation: str, column: str, rule: str, test: str) -> str
 
 
 _WIDTHS = {"customer_id": 16, "first_name": 80, "last_name": 80, "email": 255, "city": 64}
-_oracle(
-    "audit_domain",
-    " UNION ALL ".join(
+_LISTING_WIDTHS = {"listing_id": 16, "product_name": 255, "category": 64, "seller_id": 64}
+_NOT_ISO = "{0} IS NOT NULL AND NOT regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')"
+_DOMAINS = {
+    "customers": (
+        (*CUSTOMERS_REPAIRED, CUSTOMER_CELLS),
         [
-            *(
-                _domain("customers", "cells", c, "too_long", f"length({c}) > {n}")
-                for c, n in _WIDTHS.items()
-            ),
-            _domain("customers", "cells", "join_date", "not_date",
-                    "join_date IS NOT NULL AND "
-                    "NOT regexp_matches(join_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')"),
-            _domain("order_items", "raw_events", "order_id", "not_int",
-                    "try_cast(order_id AS INT) IS NULL"),
-            _domain("order_items", "raw_events", "listing_id", "too_long",
-                    "length(listing_id) > 16"),
-            _domain("order_items", "raw_events", "quantity", "not_int",
-                    "trim(quantity) <> '' AND NOT regexp_matches(trim(quantity), '^[0-9]+$')"),
-            _domain("order_items", "raw_events", "price_at_purchase", "not_decimal(10,2)",
-                    "price_at_purchase <> 'NULL' AND "
-                    "try_cast(price_at_purchase AS DECIMAL(10,2)) IS NULL"),
-        ]
+            *(("cells", c, "too_long", f"length({c}) > {n}") for c, n in _WIDTHS.items()),
+            ("cells", "join_date", "not_date", _NOT_ISO.format("join_date")),
+        ],
+    ),
+    "listings": (
+        (*LISTINGS_REPAIRED, LISTING_CELLS),
+        [
+            *(("cells", c, "too_long", f"length({c}) > {n}") for c, n in _LISTING_WIDTHS.items()),
+            ("cells", "price", "not_decimal(10,2)",
+             "NOT regexp_matches(price, '^[0-9]+[.]?[0-9]*$')"),
+            ("cells", "stock_quantity", "not_int",
+             "NOT regexp_matches(stock_quantity, '^[0-9]+$')"),
+            ("cells", "listing_date", "not_date", _NOT_ISO.format("listing_date")),
+        ],
+    ),
+    "orders": (
+        (BASE,),
+        [
+            ("order_heads", "order_id", "not_int", "order_id > 2147483647"),
+            ("order_heads", "customer_id", "too_long", "true"),
+        ],
     ),
-    *CUSTOMERS_REPAIRED, CUSTOMER_CELLS, BASE, RAW_EVENTS,
+    "order_items": (
+        (BASE, RAW_EVENTS),
+        [
+            ("raw_events", "order_id", "not_int", "try_cast(order_id AS INT) IS NULL"),
+            ("raw_events", "listing_id", "too_long", "length(listing_id) > 16"),
+            ("raw_events", "quantity", "not_int",
+             "trim(quantity) <> '' AND NOT regexp_matches(trim(quantity), '^[0-9]+$')"),
+            ("raw_events", "price_at_purchase", "not_decimal(10,2)",
+             "price_at_purchase <> 'NULL' AND "
+             "try_cast(price_at_purchase AS DECIMAL(10,2)) IS NULL"),
+        ],
+    ),
+    "order_item_status_history": (
+        (BASE,),
+        [
+            ("history", "order_id", "not_int", "order_id > 2147483647"),
+            ("history", "listing_id", "too_long", "length(CAST(listing_id AS VARCHAR)) > 16"),
+            ("history", "status_timestamp", "not_timestamp_ntz", "order_id % 7 = 0"),
+            ("history", "order_status", "too_long", "length(order_status) > 32"),
+        ],
+    ),
+}
+ORACLES["audit_domain"] = " UNION ALL ".join(
+    f"SELECT * FROM (WITH {','.join(relations)} "
+    + " UNION ALL ".join(_domain(table, *rule) for rule in rules)
+    + ")"
+    for table, (relations, rules) in _DOMAINS.items()
 )
-
 _oracle(
     "judge_rows",
     """SELECT *, concat_ws(',', CASE WHEN first_name IS NULL THEN 'first_name:missing' END,

@@ -41,35 +41,26 @@ def query(build: Callable[[Marketplace], DataFrame]) -> Callable[[Marketplace],
 
 @query
 def scan_projected(m):
-    """The four column-pruned reads behind the documents, stacked."""
-    none = F.lit(None)
+    """The four column-pruned reads behind the documents, stacked; all their columns as text."""
 
-    def rows(df, name, second, label):
+    def rows(name, df, *keys):
+        rest = [F.col(c).cast("string") for c in df.columns if c not in keys]
+        key_2 = F.col(keys[1]) if len(keys) > 1 else F.lit(None)
         return df.select(
             F.lit(name).alias("table_name"),
-            F.col(df.columns[0]).alias("key_1"),
-            second.cast("bigint").alias("key_2"),
-            label.cast("string").alias("label"),
+            F.col(keys[0]).alias("key_1"),
+            key_2.cast("bigint").alias("key_2"),
+            F.concat_ws("|", *rest).alias("label"),
         )
 
+    item = ["order_id", "listing_id"]
+    listings = m.listings.select("listing_id", "product_name", "category", "seller_id")
     return audit.union_all(
         [
-            rows(m.orders, "orders", F.col("customer_id"), none),
-            rows(
-                m.items.select("order_id", "listing_id", "quantity"),
-                "order_items",
-                F.col("listing_id"),
-                F.col("quantity"),
-            ),
-            rows(
-                m.listings.select("listing_id", "product_name"),
-                "listings",
-                none,
-                F.col("product_name"),
-            ),
-            rows(
-                m.history, "order_item_status_history", F.col("listing_id"), F.col("order_status")
-            ),
+            rows("orders", m.orders, "order_id", "customer_id"),
+            rows("order_items", m.items, *item),
+            rows("listings", listings, "listing_id"),
+            rows("order_item_status_history", m.history, *item),
         ]
     )
 
@@ -109,7 +100,10 @@ def load_tables(m):
     feeds = {
         "customers": m.customers,
         "listings": listings,
-        "orders": m.events.withColumn("order_status", F.lower("order_status")),
+        # File order decides between events of one item and time.
+        "orders": m.events.orderBy("quantity", "price_at_purchase", "order_status").withColumn(
+            "order_status", F.lower("order_status")
+        ),
     }
     for name, df in feeds.items():
         delimited.write_csv(df, f"{folder}/raw/{jobs.RAW_FILES[name]}")
@@ -122,7 +116,6 @@ def load_tables(m):
             F.lit(name).alias("table_name"), F.concat_ws("|", *table.columns).alias("row")
         )
         for name, table in schemas.TABLES.items()
-        if name != "order_items"
     )
 
 
@@ -355,7 +348,7 @@ def seller_category_revenue(m):
 @query
 def ranked_sellers(m):
     return revenue.ranked_sellers(
-        revenue.seller_category_revenue(m.items, m.history, m.listings), x=10
+        revenue.seller_category_revenue(m.items, m.history, m.listings)
     )
 
 
@@ -414,11 +407,14 @@ def order_items_enriched(m):
     return documents.enrich_items(m.items, m.listings).drop("amount")
 
 
-def _unrolled_items(arrays: DataFrame) -> DataFrame:
-    """One row per array element, with its position."""
-    return arrays.select("order_id", F.posexplode("items").alias("position", "item")).select(
+def _unrolled_items(arrays: DataFrame, page: Column) -> DataFrame:
+    """One row per array element, with its position in the order."""
+    elements = arrays.select(
+        "order_id", page.alias("page"), F.posexplode("items").alias("position", "item")
+    )
+    return elements.select(
         "order_id",
-        "position",
+        (F.col("position") + F.col("page") * documents.PAGE_ITEMS).cast("int").alias("position"),
         "item.listing_id",
         "item.quantity",
         "item.extended_price",
@@ -432,7 +428,7 @@ def _unrolled_items(arrays: DataFrame) -> DataFrame:
 @query
 def order_items_array(m):
     """The item arrays, unrolled again."""
-    return _unrolled_items(documents.order_items_array(m.items, m.listings))
+    return _unrolled_items(documents.order_items_array(m.items, m.listings), F.col("page"))
 
 
 @query
@@ -471,13 +467,47 @@ def status_timeline(m):
 
 @query
 def order_snapshot(m):
-    return _documents(m)
+    """Whole documents but for the time they were taken, nested parts written out as text."""
+    money = "decimal(20,2)"
+
+    def item(i: Column) -> Column:
+        product = i["product"]
+        return F.concat_ws(
+            "|",
+            i["listing_id"],
+            i["quantity"].cast("string"),
+            i["extended_price"].cast(money).cast("string"),
+            product["name"],
+            product["category"],
+            product["seller_id"],
+            product["price_at_purchase"].cast(money).cast("string"),
+        )
+
+    def step(s: Column) -> Column:
+        return F.concat_ws("|", s["status"], s["at"])
+
+    return _documents(m).select(
+        "_id",
+        "order_id",
+        "customer.customer_id",
+        F.array_join(F.transform("items", item), ";").alias("items"),
+        F.array_join(F.transform("status_timeline", step), ";").alias("status_timeline"),
+        "current_status",
+        *lifecycle.MILESTONES,
+        "payment.currency",
+        "payment.subtotal",
+        "payment.total",
+        "metrics.hours_to_ship",
+        "metrics.hours_to_deliver",
+        "audit.source",
+    )
 
 
 @query
 def order_snapshot_items(m):
     """The items inside the finished documents."""
-    return _unrolled_items(_documents(m))
+    page = F.coalesce(F.get(F.split("_id", "#"), F.lit(1)).cast("bigint"), F.lit(0))
+    return _unrolled_items(_documents(m), page)
 
 
 @query
@@ -521,8 +551,7 @@ def _five(m, history=None):
 
 @query
 def table_counts(m):
-    counts = audit.table_counts({**_five(m), "documents": _documents(m)})
-    return counts
+    return audit.table_counts({**_five(m), "documents": documents.first_pages(_documents(m))})
 
 
 @query
@@ -555,26 +584,51 @@ def audit_fk(m):
 
 @query
 def audit_nulls(m):
+    """All five tables; the order tables lose some of their values first."""
+    finished = F.col("order_status") != "CANCELLED"
     return audit.union_all(
         [
             audit.audit_nulls(clean_customers(m), schemas.CUSTOMERS),
             audit.audit_nulls(clean_listings(m), schemas.LISTINGS),
+            audit.audit_nulls(
+                m.orders.withColumn("customer_id", F.expr("nullif(customer_id % 5, 0)")),
+                schemas.ORDERS,
+            ),
+            audit.audit_nulls(
+                m.items.withColumn("quantity", F.expr("nullif(quantity, 7)")), schemas.ORDER_ITEMS
+            ),
+            audit.audit_nulls(
+                m.history.withColumn("order_status", F.when(finished, F.col("order_status"))),
+                schemas.STATUS_HISTORY,
+            ),
         ]
     )
 
 
 @query
 def audit_domain(m):
-    """Widths and types of the repaired but uncleaned text."""
+    """Widths and types of the repaired but uncleaned text of all five tables."""
+    events = text.normalize_cells(dirty.raw_events(m), quotes=False)
+    padded = F.concat(F.lit("customer-"), F.lpad(F.col("customer_id").cast("string"), 9, "0"))
+    at = F.expr("if(order_id % 7 = 0, 'soon', cast(event_timestamp AS string))")
+    log = m.events.withColumn("status_timestamp", at)
     return audit.union_all(
         [
             audit.audit_domain(normalize_cells(m), schemas.CUSTOMERS),
             audit.audit_domain(
-                text.normalize_cells(dirty.raw_events(m), quotes=False).select(
-                    "order_id", "listing_id", "quantity", "price_at_purchase"
-                ),
+                text.normalize_cells(_repaired_listings(m)).drop("field_count"), schemas.LISTINGS
+            ),
+            audit.audit_domain(
+                m.orders.withColumn("customer_id", padded), schemas.ORDERS
+            ),
+            audit.audit_domain(
+                events.select("order_id", "listing_id", "quantity", "price_at_purchase"),
                 schemas.ORDER_ITEMS,
             ),
+            audit.audit_domain(
+                log.select("order_id", "listing_id", "status_timestamp", "order_status"),
+                schemas.STATUS_HISTORY,
+            ),
         ]
     )
 
