@@ -13,7 +13,8 @@ then compared to verify the distance.
 
 Variants are emitted only for lines that can have a partner: one edit leaves the first or the last
 half of both lines equal, so a line whose halves no other line has is left out. Equal lines are
-reduced to their first before that.
+reduced to their first before that. The words of the lines that are left come from a second pass
+over the texts: their numbers are broadcast up to BROADCAST_ROWS of them, else joined by shuffle.
 
 Defined cases: null text counts as empty and comes back as null; null ids come after all others;
 rows with equal ids are ordered by a hash of id and text, rows equal in both are one document;
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.shared import (
+    BROADCAST_ROWS,
     WORD_BASE,
     blocks,
     fresh,
@@ -196,6 +198,8 @@ def _near(firsts: DataFrame, texts: DataFrame) -> DataFrame:
     hopeful = handover(hopeful.select("line_key", "doc", "row_key", "line"), "hopeful-lines")
 
     wanted = hopeful.groupBy("row_key").agg(F.collect_list("line").alias("listed"))
+    if hopeful.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     words = (
         texts.select("row_key", "text")
         .join(wanted, "row_key")

@@ -131,17 +131,14 @@ FROM t LEFT JOIN lists USING (n)
 
 @query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("whole"))
-
-    def lines(column: str):
-        worded = F.filter(F.split(column, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-        return F.coalesce(F.size(worded), F.lit(0)).cast("long")
-
-    left = line_dedup.drop_repeated_lines(docs)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    worded = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.coalesce(F.size(worded), F.lit(0)).cast("long")
+    left = line_dedup.drop_repeated_lines(docs.withColumn("n_lines", lines))
     return left.select(
         "doc_id",
-        lines("whole").alias("n_lines"),
-        (lines("whole") - lines("text")).alias("n_removed"),
+        "n_lines",
+        (F.col("n_lines") - lines).alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
 
