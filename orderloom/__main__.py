@@ -10,6 +10,8 @@ from orderloom.plans import jobs, reports
 from orderloom.session import configure
 from orderloom.sources.store import TableStore
 
+SHOWN_ROWS = 50
+
 
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="orderloom")
@@ -17,6 +19,9 @@ def parser() -> argparse.ArgumentParser:
     clean = commands.add_parser("clean", help="raw CSV files to cleaned CSV folders")
     clean.add_argument("source")
     clean.add_argument("target")
+    clean.add_argument(
+        "--multiline", action="store_true", help="line breaks may stand inside quoted order cells"
+    )
     load = commands.add_parser("load", help="cleaned CSV folders into the published tables")
     load.add_argument("source")
     load.add_argument("root")
@@ -35,7 +40,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"orderloom {args.command}").getOrCreate())
     if args.command == "clean":
-        print("cleaned:", ", ".join(jobs.clean_files(spark, args.source, args.target)))
+        done = jobs.clean_files(spark, args.source, args.target, multiline=args.multiline)
+        print("cleaned:", ", ".join(done))
     elif args.command == "load":
         print(jobs.load_tables(spark, args.source, args.root, args.on_reject))
     elif args.command == "snapshot":
@@ -45,7 +51,9 @@ def main(argv: list[str] | None = None) -> None:
         if args.out:
             result.write.mode("overwrite").json(args.out)
         else:
-            result.show(50, truncate=False)
+            result.show(SHOWN_ROWS, truncate=False)
+            if more := result.offset(SHOWN_ROWS).count():
+                print(f"{more} more rows; --out writes all")
 
 
 if __name__ == "__main__":

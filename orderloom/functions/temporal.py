@@ -19,7 +19,9 @@ DATES = (
     "[d MMM yyyy]"
     "[d MMMM yyyy]"
 )
-TIMES = "[ H:m[:s[.SSSSSS][.SSS]]]['T'H:m[:s[.SSSSSS][.SSS]]]"
+TIMES = "[ h:m[:s] a][ H:m[:s[.SSSSSS][.SSS]]]['T'H:m[:s[.SSSSSS][.SSS]]][ XXX][XXX][XX]"
+# A year: every accepted date has one, no time of day does.
+DATED = "(^|[^0-9.:])[0-9]{4}([^0-9]|$)"
 DAY_FIRST = "d/M/yyyy"
 DAY_FIRST_SHAPE = "^(1[3-9]|2[0-9]|3[01])/"
 
@@ -31,8 +33,9 @@ def _parse(text: Column) -> Column:
             text.rlike(DAY_FIRST_SHAPE), F.try_to_timestamp(text, F.lit(DAY_FIRST + TIMES))
         ),
     )
-    # Every section is optional, so an empty text would match.
-    return F.when(text != "", parsed).cast("timestamp_ntz")
+    # Every section is optional, so an empty text or a bare time would match. A zone suffix makes
+    # an instant, which the session's UTC clock shows.
+    return F.when(text.rlike(DATED), parsed).cast("timestamp_ntz")
 
 
 def parse_mixed_datetime(cell: Column) -> Column:

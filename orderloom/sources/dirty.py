@@ -21,12 +21,16 @@ def date_text(day: str, key: str) -> str:
 
 
 def datetime_text(ts: str, key: str) -> str:
-    """SQL for a time as ISO, slashes, 12-hour clock, or a missing-value token."""
-    return f"""CASE {key} % 4
+    """SQL for a time as ISO, with a zone, slashes, 12-hour clock, or a missing-value token."""
+    return f"""CASE {key} % 8
         WHEN 0 THEN date_format({ts}, 'yyyy-MM-dd HH:mm:ss')
         WHEN 1 THEN date_format({ts}, 'MM/dd/yyyy  HH:mm:ss')
         WHEN 2 THEN date_format({ts}, 'h:mm a MMM dd, yyyy')
-        ELSE ' N/A ' END"""
+        WHEN 3 THEN ' N/A '
+        WHEN 4 THEN concat(date_format({ts}, "yyyy-MM-dd'T'HH:mm:ss"), 'Z')
+        WHEN 5 THEN concat(date_format({ts}, "yyyy-MM-dd'T'HH:mm:ss"), '+00:00')
+        WHEN 6 THEN date_format({ts}, 'MM/dd/yyyy hh:mm a')
+        ELSE date_format({ts}, 'MMM dd, yyyy h:mm a') END"""
 
 
 def status_text(status: str, key: str) -> str:

@@ -183,3 +183,22 @@ def test_repair_agrees_with_list_slicing_on_random_lines(spark):
             cells += [""] * (width - len(cells))
             want.append([c.strip() for c in cells])
         assert repaired(spark, lines, columns, date_index)[0] == want
+
+
+def test_zones_twelve_hour_clocks_and_bare_times(column):
+    given = {
+        "2023-01-15T10:00:00Z": dt.datetime(2023, 1, 15, 10),
+        "2023-01-15T10:00:00+00:00": dt.datetime(2023, 1, 15, 10),
+        "2023-01-15 10:00:00 +02:00": dt.datetime(2023, 1, 15, 8),
+        "2023-01-15T10:00:00.123456+0100": dt.datetime(2023, 1, 15, 9, 0, 0, 123456),
+        "01/12/2024 07:01 PM": dt.datetime(2024, 1, 12, 19, 1),
+        "Jan 14, 2024 7:59 AM": dt.datetime(2024, 1, 14, 7, 59),
+        "2023-01-15 7:59 AM": dt.datetime(2023, 1, 15, 7, 59),
+        "2023-01-15 17:59": dt.datetime(2023, 1, 15, 17, 59),
+        "25/12/2023 07:01 PM": dt.datetime(2023, 12, 25, 19, 1),
+        "T10:30": None,
+        "10:30 AM": None,
+        "T10:30:15.1234": None,
+        "": None,
+    }
+    assert column(temporal.parse_mixed_datetime, list(given)) == list(given.values())
