@@ -10,7 +10,7 @@ built whole:
 1. Suffixes are taken at anchors only: of the `prefix`-word grams of a window the one with the
    least hash. Equal windows have equal anchors, and about one position in eight is an anchor.
    Grouping by that first prefix leaves the anchors that occur more than once; the subtree of any
-   other holds no repeat.
+   other holds no repeat. A text counts its own occurrences and sends each of its grams once.
 2. The windows of those anchors form the subtrees, one per prefix. Where a prefix has more
    suffixes than fit in memory, it is lengthened to the whole window, so that its subtree is a
    single deep node. Tasks stream over their subtrees in order of place; the first to reach a
@@ -75,6 +75,17 @@ class Block:
         self.words = words
         self.width = width
 
+    def key(self, places: np.ndarray) -> np.ndarray:
+        """One number for each gram within its text."""
+        return mix(self.grams[places] ^ mix(self.text[places].astype(np.uint64)))
+
+    def listed(self, grams: list) -> np.ndarray:
+        """Which windows have an anchor that is listed for their text."""
+        sizes = [len(g) for g in grams]
+        flat = np.concatenate([np.asarray(g, dtype=np.int64) for g in grams]).view(np.uint64)
+        owner = np.repeat(np.arange(len(grams)), sizes).astype(np.uint64)
+        return np.isin(self.key(self.anchor), mix(flat ^ mix(owner)))
+
     def hashes(self) -> np.ndarray:
         return windows(self.words, self.width, TWIN_BASE)[self.start]
 
@@ -88,11 +99,14 @@ def _anchors(width: int, prefix: int):
                 block = Block(texts[i:j], width, prefix)
                 places = np.unique(block.anchor)
                 text = block.text[places]
+                _, first, times = np.unique(
+                    block.key(places), return_index=True, return_counts=True
+                )
                 yield pd.DataFrame(
                     {
-                        "anchor": block.grams[places].view(np.int64),
-                        "digest": digests[i:j][text],
-                        "at": (places - block.begin[text]).astype(np.int32),
+                        "anchor": block.grams[places[first]].view(np.int64),
+                        "digest": digests[i:j][text[first]],
+                        "times": times.astype(np.int32),
                     }
                 )
 
@@ -102,12 +116,10 @@ def _anchors(width: int, prefix: int):
 def _suffixes(width: int, prefix: int):
     """The windows of repeated anchors, one row per anchor or, for long prefixes, per window."""
 
-    def rows(block: Block, places: list, order: np.ndarray, row_key: np.ndarray) -> pd.DataFrame:
-        state = np.zeros(len(block.words) + 1, dtype=np.int8)
-        for i, listed in enumerate(places):
-            at = np.asarray(listed, dtype=np.int64)
-            state[block.begin[i] + np.where(at < 0, -at - 1, at)] = np.where(at < 0, 2, 1)
-        chosen = state[block.anchor] > 0
+    def rows(block: Block, grams: list, lengthened: list, order, row_key) -> pd.DataFrame:
+        alone = block.listed(lengthened)
+        chosen = alone | block.listed(grams)
+        alone = alone[chosen]
         start, anchor, digest = block.start[chosen], block.anchor[chosen], block.hashes()[chosen]
         text = block.text[start]
         local = start - block.begin[text]
@@ -122,7 +134,6 @@ def _suffixes(width: int, prefix: int):
         open_ = leader == np.arange(len(by))
         gone = ~open_ & ((rank != rank[leader]) | (local != local[leader]))
         # Rows: windows of one anchor stand side by side; those of a long prefix stand alone.
-        alone = state[anchor] == 2
         head = np.ones(len(start), dtype=bool)
         head[1:] = (anchor[1:] != anchor[:-1]) | alone[1:]
         first = np.flatnonzero(head)
@@ -149,12 +160,12 @@ def _suffixes(width: int, prefix: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, places = list(batch["text"]), list(batch["places"])
+            texts, grams, lengthened = (list(batch[c]) for c in ("text", "grams", "lengthened"))
             order, row_key = batch["place"].to_numpy(), batch["row_key"].to_numpy()
             for i, j in blocks(texts):
                 block = Block(texts[i:j], width, prefix)
                 if len(block.start):
-                    yield rows(block, places[i:j], order[i:j], row_key[i:j])
+                    yield rows(block, grams[i:j], lengthened[i:j], order[i:j], row_key[i:j])
 
     return run
 
@@ -231,20 +242,23 @@ def remove_repeats(docs: DataFrame, width: int = 20, prefix: int = 6) -> DataFra
 
     digest = F.xxhash64("text")
     anchors = base.select(digest.alias("digest"), "text").mapInPandas(
-        _anchors(width, prefix), "anchor long, digest long, at int"
+        _anchors(width, prefix), "anchor long, digest long, times int"
     )
     subtree = Window.partitionBy("anchor")
-    spot = F.xxhash64("digest", "at")
+    shared = F.min("digest").over(subtree) != F.max("digest").over(subtree)
     repeated = (
         anchors.select(
             "digest",
-            "at",
-            (F.min(spot).over(subtree) != F.max(spot).over(subtree)).alias("repeated"),
-            (F.count(F.lit(1)).over(subtree) > GROUP_SUFFIXES).alias("lengthen"),
+            "anchor",
+            (shared | (F.max("times").over(subtree) > 1)).alias("repeated"),
+            (F.sum("times").over(subtree) > GROUP_SUFFIXES).alias("lengthen"),
         )
         .where("repeated")
         .groupBy("digest")
-        .agg(F.collect_set(F.expr("if(lengthen, -at - 1, at)")).alias("places"))
+        .agg(
+            F.collect_set(F.expr("if(lengthen, null, anchor)")).alias("grams"),
+            F.collect_set(F.expr("if(lengthen, anchor, null)")).alias("lengthened"),
+        )
     )
     first = (
         base.groupBy(digest.alias("digest"), F.xxhash64(F.lit(1), "text"))
@@ -252,12 +266,15 @@ def remove_repeats(docs: DataFrame, width: int = 20, prefix: int = 6) -> DataFra
         .select("digest", "f.place", "f.row_key")
     )
     firsts = handover(
-        first.join(repeated, "digest", "left").select("row_key", "place", "places"), "first-texts"
+        first.join(repeated, "digest", "left").select(
+            "row_key", "place", "grams", "lengthened"
+        ),
+        "first-texts",
     )
 
     cuts = (
-        texts.join(firsts.where("places IS NOT NULL"), "row_key")
-        .select("row_key", "text", "place", "places")
+        texts.join(firsts.where("grams IS NOT NULL"), "row_key")
+        .select("row_key", "text", "place", "grams", "lengthened")
         .mapInPandas(
             _suffixes(width, prefix),
             "key long, place long, row_key long, at int, gone int, open int, hashes binary",
