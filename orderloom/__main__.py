@@ -1,12 +1,14 @@
-"""Command line for spark-submit: clean, load, snapshot and report."""
+"""Command line for spark-submit: clean, load, delete, snapshot and report."""
 
 from __future__ import annotations
 
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.plans import jobs, reports
+from orderloom.schemas import TABLES
 from orderloom.session import configure
 from orderloom.sources.store import TableStore
 
@@ -26,6 +28,10 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("source")
     load.add_argument("root")
     load.add_argument("--on-reject", choices=("fail", "quarantine"), default="fail")
+    delete = commands.add_parser("delete", help="published rows by key, and what they own")
+    delete.add_argument("root")
+    delete.add_argument("table", choices=tuple(TABLES))
+    delete.add_argument("keys", help="CSV with a header and the table's key columns")
     snapshot = commands.add_parser("snapshot", help="one document per published order")
     snapshot.add_argument("root")
     report = commands.add_parser("report", help="a question about published data")
@@ -44,6 +50,13 @@ def main(argv: list[str] | None = None) -> None:
         print("cleaned:", ", ".join(done))
     elif args.command == "load":
         print(jobs.load_tables(spark, args.source, args.root, args.on_reject))
+    elif args.command == "delete":
+        table = TABLES[args.table]
+        types = {f.name: f.type for f in table.fields}
+        keys = spark.read.csv(args.keys, header=True).select(
+            *(F.col(c).cast(types[c]) for c in table.key)
+        )
+        print("deleted:", jobs.delete_rows(spark, args.root, args.table, keys))
     elif args.command == "snapshot":
         print(jobs.snapshot_orders(spark, args.root))
     else:

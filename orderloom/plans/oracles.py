@@ -810,3 +810,13 @@ _oracle(
        GROUP BY listing_id""",
     BASE,
 )
+
+_oracle(
+    "audit_restrict_updates",
+    """SELECT 'customers' AS table_name, customer_id AS key, COUNT(*) AS rows FROM order_heads
+       WHERE customer_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)
+       GROUP BY customer_id
+       UNION ALL SELECT 'listings', listing_id, COUNT(*) FROM items
+       WHERE listing_id IN (SELECT p_partkey FROM part WHERE p_size > 40) GROUP BY listing_id""",
+    BASE,
+)

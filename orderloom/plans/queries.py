@@ -673,3 +673,20 @@ def audit_restrict(m):
         )
         for name, key, child, doomed in blocked
     )
+
+
+@query
+def audit_restrict_updates(m):
+    """Key changes that must be refused: renumbered customers with orders, listings with items."""
+    customers = m.customers.withColumn("new_id", F.expr("customer_id + customer_id % 3"))
+    listings = m.listings.withColumn("new_id", F.expr("if(stock_quantity > 40, 0, listing_id)"))
+    blocked = (
+        ("customers", "customer_id", m.orders, customers),
+        ("listings", "listing_id", m.items, listings),
+    )
+    return audit.union_all(
+        audit.blocked_key_updates(changes, child, key, "new_id").select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), "rows"
+        )
+        for name, key, child, changes in blocked
+    )

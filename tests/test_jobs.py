@@ -8,7 +8,7 @@ import pytest
 from orderloom.__main__ import main
 from orderloom.plans import jobs, reports
 from orderloom.schemas import CUSTOMERS, ORDER_ITEMS, STATUS_HISTORY, TABLES
-from orderloom.sources.store import TableStore
+from orderloom.sources.store import StaleStore, TableStore
 
 CUSTOMERS_CSV = """customer_id,first_name,last_name,email,join_date,city
 c1,Ann,Lee,,Mar 05, 2023, oslo
@@ -158,3 +158,72 @@ def test_lookups_prune_folders_and_push_filters(spark, raw, tmp_path):
     assert "current_status" in plan("status", "PLACED").split("PartitionFilters: [")[1].split("]")[0]
     shipped = plan("placed-to-shipped").split("PartitionFilters: [")[1].split("]")[0]
     assert "order_status" in shipped and "PLACED" in shipped
+
+
+@pytest.fixture
+def loaded(spark, raw, tmp_path):
+    clean, root = str(tmp_path / "clean"), str(tmp_path / "store")
+    jobs.clean_files(spark, str(raw), clean)
+    jobs.load_tables(spark, clean, root)
+    return root
+
+
+def test_deleting_an_order_takes_what_it_owns(spark, loaded):
+    before = contents(spark, loaded)
+    keys = spark.createDataFrame([(1,), (77,)], "order_id int")
+    deleted = jobs.delete_rows(spark, loaded, "orders", keys)
+    assert deleted == {"orders": 1, "order_items": 2, "order_item_status_history": 4}
+    after = contents(spark, loaded)
+    for name in deleted:
+        assert after[name] == [r for r in before[name] if r[0] != 1]
+    assert after["customers"] == before["customers"]
+    assert after["listings"] == before["listings"]
+
+
+@pytest.mark.parametrize(
+    ("table", "key", "problem"),
+    [
+        ("customers", ("customer_id", "c1"), {"customers used by orders": 1}),
+        ("listings", ("listing_id", "L2"), {"listings used by order_items": 1}),
+    ],
+)
+def test_deletes_of_used_rows_are_refused(spark, loaded, table, key, problem):
+    before, version = contents(spark, loaded), TableStore(spark, loaded).version
+    keys = spark.createDataFrame([(key[1],)], f"{key[0]} string")
+    with pytest.raises(jobs.DeleteRefused) as refusal:
+        jobs.delete_rows(spark, loaded, table, keys)
+    assert refusal.value.problems == problem
+    assert contents(spark, loaded) == before
+    assert TableStore(spark, loaded).version == version
+
+
+def test_an_unused_customer_may_go(spark, loaded):
+    keys = spark.createDataFrame([(2,)], "order_id int")
+    jobs.delete_rows(spark, loaded, "orders", keys)
+    keys = spark.createDataFrame([("c2",)], "customer_id string")
+    assert jobs.delete_rows(spark, loaded, "customers", keys) == {"customers": 1}
+    assert [r[0] for r in contents(spark, loaded)["customers"]] == ["c1"]
+
+
+def test_of_two_writers_the_second_is_refused(spark, loaded):
+    first, second = TableStore(spark, loaded), TableStore(spark, loaded)
+    empty = first.read(CUSTOMERS).limit(0)
+    one, two = first.stage_table(CUSTOMERS, empty), second.stage_table(CUSTOMERS, first.read(CUSTOMERS))
+    assert one != two
+    first.publish({CUSTOMERS.name: one})
+    with pytest.raises(StaleStore):
+        second.publish({CUSTOMERS.name: two})
+    assert TableStore(spark, loaded).read(CUSTOMERS).count() == 0
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "orders.csv").write_text(
+        ORDERS_CSV.splitlines()[0] + '\n1,c1,L1,2,25.00,2024-01-01 10:00:00,"Plac\ned"\n'
+    )
+    for multiline, rows in ((True, 1), (False, 2)):
+        target = str(tmp_path / f"clean-{multiline}")
+        jobs.clean_files(spark, str(folder), target, multiline=multiline)
+        found = spark.read.csv(f"{target}/clean_orders.csv", header=True)
+        assert found.count() == rows
