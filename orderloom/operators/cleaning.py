@@ -66,7 +66,13 @@ def clean_orders(raw: DataFrame, sort: bool = True) -> DataFrame:
             "price_at_purchase": to_number,
         },
     )
-    if not sort:
-        return events
+    return sort_events(events) if sort else events
+
+
+def sort_events(events: DataFrame) -> DataFrame:
+    """Cleaned events by their text keys, nulls last, then by file order.
+
+    Sorting samples its input first: a scan of written rows is cheaper to sample than the parsing.
+    """
     keys = [F.col(c).asc_nulls_last() for c in (*EVENT_SORT, FILE_ORDER) if c in events.columns]
     return events.orderBy(*keys) if keys else events

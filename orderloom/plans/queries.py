@@ -69,6 +69,13 @@ def _new_folder(m, name: str) -> str:
     return f"{shared_folder(m.spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _written(m, name: str, df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back, as jobs hand over."""
+    path = _new_folder(m, name)
+    df.write.parquet(path)
+    return m.spark.read.schema(df.schema).parquet(path)
+
+
 @query
 def scan_customer_lines(m):
     """Lines written to files with headers, read back and repaired."""
@@ -196,7 +203,7 @@ def upsert_metrics(m):
 @query
 def snapshot_upsert(m):
     """Renewed documents replace stored ones by order; the others stay."""
-    stored = _documents(m)
+    stored = _written(m, "documents", _documents(m))
     renumbered = (F.col("order_id").cast("bigint") * 2).cast("string")
     fresh = stored.withColumns(
         {"_id": renumbered, "order_id": renumbered, "current_status": F.lit("CANCELLED")}
@@ -254,7 +261,9 @@ def clean_listings(m):
 
 @query
 def clean_orders(m):
-    return cleaning.clean_orders(dirty.raw_events(m))
+    raw = dirty.raw_events(m).withColumn(lines.FILE_ORDER, F.monotonically_increasing_id())
+    cleaned = _written(m, "clean_orders", cleaning.clean_orders(raw, sort=False))
+    return cleaning.sort_events(cleaned).drop(lines.FILE_ORDER)
 
 
 @query
