@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import decontamination, line_dedup, packing, quality, simhash_dedup
-from orderloom.llm.shared import handover, importable
+from orderloom.llm.shared import handover, prepare
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     left = line_dedup.drop_repeated_lines(docs)
     kind = dict(docs.dtypes).get("n_chars")
     if kind is None:
@@ -35,7 +35,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return simhash_dedup.keep_one_each(docs)
 
 
@@ -45,7 +45,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their place; ids are kept as little-endian unsigned 32-bit numbers."""
-    importable(spark)
+    prepare(spark)
     return packing.packed(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 

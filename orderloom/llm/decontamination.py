@@ -14,9 +14,9 @@ shingle of some item are fingerprinted, which skips no window that could be veri
 The benchmark is taken in blocks of at most `BLOCK_BYTES`, each sent to the tasks as a whole; every
 block meets all documents.
 
-Defined cases: null text counts as empty; items without words match nothing; items and documents
-of fewer words than a shingle are one shingle of all their words; documents shorter than the item
-are one window; items may repeat; rows equal in id and text share a result; no documents or no
+Defined cases: null text counts as empty; items without words match nothing; an item of fewer words
+than a shingle is one shingle of all its words; a document shorter than the item is one window, and
+without a shingle quotes nothing; items may repeat; rows equal in id and text share a result; no documents or no
 items give no leaks; other columns are kept by `drop_contaminated` and not read otherwise.
 """
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.shared import (
     blocks,
+    frugal,
     handover,
     hashed_words,
     keyed,
@@ -202,6 +203,7 @@ def leaks(
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         index = ItemIndex([(r.item_id, bytes(r.text)) for r in block.collect()], shingle)
 
+        @frugal
         def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 texts, row_key = list(batch["text"]), batch["row_key"].to_numpy()

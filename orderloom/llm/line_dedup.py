@@ -35,6 +35,7 @@ from orderloom.llm.shared import (
     WORD_BASE,
     blocks,
     fresh,
+    frugal,
     handover,
     hashed_words,
     keyed,
@@ -60,6 +61,7 @@ def _lines(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 def _described(min_words: int):
     """Per line with words: its hash, and the hashes of the halves a partner may share."""
 
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = list(batch["text"])
@@ -92,6 +94,7 @@ def _described(min_words: int):
     return run
 
 
+@frugal
 def _words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The word hashes of the listed lines."""
     for batch in batches:
@@ -139,6 +142,7 @@ def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _batched(make):
     """Hand out larger frames than one per line."""
 
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, rows = [], 0
         for frame in make(batches):

@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.shared import for_python, from_python, handover, text_of
+from orderloom.llm.shared import for_python, from_python, frugal, handover, text_of
 
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 
-#: Words remembered by a worker; at most about 100 MB.
+#: Words remembered within a task; at most about 100 MB.
 MAX_WORDS = 400_000
 #: Pieces numbered by one task at a time, so that no length is numbered in one place.
 BUCKET_PIECES = 50_000
@@ -109,6 +109,7 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
     path = path or public_tokenizers.path(VOCABULARY)
     end = np.array([END_ID], dtype="<u4").tobytes()
 
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(path)
         for batch in batches:
@@ -121,6 +122,7 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
                     for i, at in enumerate(range(0, count, capacity))
                 ]
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
+        tokenizer.words.clear()
 
     texts = docs.select(for_python(docs["doc_id"]), text_of(docs).cast("binary").alias("text"))
     pieces = texts.mapInPandas(

@@ -19,7 +19,7 @@ from orderloom.llm import (
     substring_dedup,
     toxicity,
 )
-from orderloom.llm.shared import importable
+from orderloom.llm.shared import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,7 +31,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -44,7 +44,60 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = table(spark, folder, "benchmark")
-    return decontamination.contamination(table(spark, folder, "documents"), benchmark)
+    found = decontamination.contamination(table(spark, folder, "documents"), benchmark)
+    listed = F.array_join(F.col("items").cast("array<string>"), ",")
+    return found.withColumns({"items": listed, "similarity": F.round("similarity", 9)})
+
+
+ORACLES["op2_decontamination"] = """
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+items AS (
+    SELECT item_id, len(w) AS size, least(5, len(w)) AS width, w FROM (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM benchmark) WHERE len(w) > 0),
+item_shingles AS (
+    SELECT item_id, size, width, array_to_string(w[i:i + width - 1], ' ') AS shingle, count(*) AS n
+    FROM (SELECT *, unnest(range(1, size - width + 2)) AS i FROM items) GROUP BY ALL),
+weights AS (
+    SELECT width, shingle, 1.0::DOUBLE / count(*) AS weight FROM item_shingles GROUP BY ALL),
+item_totals AS (
+    SELECT item_id, sum(n * weight) AS total
+    FROM item_shingles JOIN weights USING (width, shingle) GROUP BY item_id),
+shingles AS (
+    SELECT doc_id, width, words, i, array_to_string(w[i:i + width - 1], ' ') AS shingle
+    FROM (SELECT doc_id, width, len(w) AS words, w, unnest(range(1, len(w) - width + 2)) AS i
+          FROM texts, (SELECT DISTINCT width FROM items))),
+hits AS (
+    SELECT doc_id, width, words, i, item_id, size
+    FROM shingles JOIN item_shingles USING (width, shingle)),
+windows AS (
+    SELECT DISTINCT doc_id, width, item_id, size,
+        greatest(1, least(unnest([i, i + width - size]), words - size + 1)) AS begin FROM hits),
+bags AS (
+    SELECT doc_id, item_id, begin, shingle, coalesce(any_value(weight), 1.0) AS weight, count(*) AS n
+    FROM windows v JOIN shingles s USING (doc_id, width)
+    LEFT JOIN weights USING (width, shingle)
+    WHERE s.i BETWEEN v.begin AND v.begin + v.size - v.width
+    GROUP BY doc_id, item_id, begin, shingle),
+compared AS (
+    SELECT doc_id, item_id, begin, sum(b.n * weight) AS total,
+        sum(least(b.n, coalesce(s.n, 0)) * weight) AS shared
+    FROM bags b LEFT JOIN item_shingles s USING (item_id, shingle)
+    GROUP BY doc_id, item_id, begin),
+best AS (
+    SELECT doc_id, item_id, max(shared / (compared.total + item_totals.total - shared)) AS similarity
+    FROM compared JOIN item_totals USING (item_id) GROUP BY doc_id, item_id),
+found AS (
+    SELECT doc_id, string_agg(item_id, ',' ORDER BY item_id) AS items, max(similarity) AS similarity
+    FROM best WHERE similarity >= 0.8 GROUP BY doc_id)
+SELECT doc_id, items IS NOT NULL AS contaminated, coalesce(items, '') AS items,
+    round(coalesce(similarity, 0.0), 9) AS similarity
+FROM texts LEFT JOIN found USING (doc_id)
+"""
 
 
 @query
@@ -143,6 +196,37 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op9_line_dedup"] = """
+WITH t AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+lines AS (
+    SELECT doc_id, i, doc_id::HUGEINT * 1000000000 + i AS place, line,
+        regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM t),
+worded AS (
+    SELECT *, row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY place) AS nth
+    FROM lines WHERE len(w) > 0),
+near AS (
+    SELECT place, w, unnest(range(0, len(w) + 1)) AS p FROM worded WHERE nth = 1 AND len(w) >= 8),
+keys AS (
+    SELECT place, p, md5(CASE WHEN p = 0 THEN array_to_string(w, ' ')
+        ELSE array_to_string(w[1:p - 1] || w[p + 1:], ' ') END) AS variant FROM near),
+partners AS (
+    SELECT place, CASE WHEN p = 0 THEN min(place) OVER (PARTITION BY variant)
+        ELSE least(min(place) FILTER (p = 0) OVER (PARTITION BY variant),
+            min(place) OVER (PARTITION BY variant, p)) END AS earliest
+    FROM keys),
+gone AS (
+    SELECT place FROM worded WHERE nth > 1
+    UNION SELECT place FROM partners WHERE earliest < place)
+SELECT doc_id, count(*) FILTER (len(w) > 0) AS n_lines,
+    count(*) FILTER (place IN (SELECT place FROM gone)) AS n_removed,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i)
+        FILTER (place NOT IN (SELECT place FROM gone)), '')) AS kept_sha256
+FROM lines GROUP BY doc_id
+"""
+
+
 @query
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substring_dedup.remove_repeats(table(spark, folder, "documents"))

@@ -5,6 +5,8 @@ Words are the runs of bytes between the six ASCII blanks 0x20 and 0x09-0x0D.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -26,6 +28,9 @@ NULL_ID = -(1 << 63)
 #: Texts hashed together: enough bytes to amortise a numpy call, few enough to stay in cache.
 BLOCK_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch, beyond its last row.
+BATCH_BYTES = 4 << 20
+
 #: Row keys (8 bytes each) that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -34,14 +39,31 @@ _blank[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _powers: dict[int, np.ndarray] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver found it, if it is not installed."""
+def prepare(spark: SparkSession) -> None:
+    """What the operators ask of a session.
+
+    Python workers find this package where the driver found it, if it is not installed; and
+    batches sent to them are bounded by bytes, since a row may hold any length of text.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+def frugal(run):
+    """A mapInPandas function that returns its freed memory to the system when a task ends: idle
+    workers outlive their stage, and several of them share an executor's memory."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def handover(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, and a lost
     executor costs no recomputation beyond it.

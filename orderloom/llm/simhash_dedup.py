@@ -32,7 +32,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.graph import components
-from orderloom.llm.shared import for_python, from_python, fresh, handover, keyed, mix, text_of, without
+from orderloom.llm.shared import (
+    for_python,
+    fresh,
+    from_python,
+    frugal,
+    handover,
+    keyed,
+    mix,
+    text_of,
+    without,
+)
 
 LAST = (1 << 63) - 1
 
@@ -80,6 +90,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, row_key, fingerprint), the fingerprint as a signed 64-bit number."""
 
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)

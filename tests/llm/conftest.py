@@ -1,6 +1,6 @@
 import pytest
 
-from orderloom.llm.shared import importable
+from orderloom.llm.shared import prepare
 
 #: Columns whose names the operators use inside, and which they must neither read nor trip over.
 CLASHING = (
@@ -12,7 +12,7 @@ CLASHING = (
 @pytest.fixture
 def make_docs(spark):
     """Documents from (doc_id, text) or (doc_id, text, lang) rows, with clashing columns."""
-    importable(spark)
+    prepare(spark)
     schema = "doc_id long, text string, lang string, source string, n_chars long, "
     schema += ", ".join(f"`{c}` string" for c in CLASHING)
 
