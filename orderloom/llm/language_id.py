@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.sampling import sample_ids
+from orderloom.llm.sampling import sample_ids, sample_texts
 from orderloom.llm.shared import crc_fold, for_python, from_python, text_of
 
 PROFILE = 300
@@ -80,7 +80,8 @@ def fit(docs: DataFrame, learnable: Column, sample: int = SAMPLE_DOCS) -> dict[s
         .limit(MAX_LANGUAGES)
         .collect()
     ]
-    some = sample_ids(known.where(F.col("lang").isin(frequent)), "lang", sample)
+    chosen = sample_ids(known.where(F.col("lang").isin(frequent)), "lang", sample)
+    some = sample_texts(known.select("doc_id", "lang", "text"), chosen)
     counts = (
         some.select("lang", "text")
         .mapInPandas(_counted, "lang string, gram string, n long")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.sampling import sample_ids
+from orderloom.llm.sampling import sample_ids, sample_texts
 from orderloom.llm.shared import (
     blocks,
     crc_fold,
@@ -197,13 +197,13 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) ->
     texts = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text")
     ).where("doc_id IS NOT NULL")
-    trusted = sample_ids(learnable.where("quality = 1").select("doc_id", "quality"), "quality", POSITIVES)
-    positive = texts.join(F.broadcast(trusted.select("doc_id")), "doc_id", "left_semi")
-    web = texts.where(crc_fold(F.col("doc_id"), modulus) != held).withColumn("all", F.lit(0))
-    unlabelled = sample_ids(web, "all", UNLABELLED)
+    trusted = sample_ids(learnable.where("quality = 1"), "quality", POSITIVES)
+    web = texts.where(crc_fold(F.col("doc_id"), modulus) != held).withColumn("web", F.lit(0))
+    unlabelled = sample_ids(web, "web", UNLABELLED)
     rows = (
-        positive.select("text", F.lit(True).alias("positive"))
-        .union(unlabelled.select("text", F.lit(False)))
+        sample_texts(texts, trusted)
+        .select("text", F.lit(True).alias("positive"))
+        .union(sample_texts(texts, unlabelled).select("text", F.lit(False)))
         .mapInPandas(_measured, "positive boolean, row array<float>")
         .toPandas()  # bounded by the samples
     )

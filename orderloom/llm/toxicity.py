@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.sampling import sample_ids
+from orderloom.llm.sampling import sample_ids, sample_texts
 from orderloom.llm.shared import blocks, crc_fold, handover, mix, text_of, word_bounds
 
 THRESHOLD = 0.7
@@ -223,9 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) ->
     texts = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text")
     )
-    sample = handover(
-        texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "labelled-texts"
-    )
+    sample = handover(sample_texts(texts, chosen).select("toxic", "text"), "labelled-texts")
     docs_of = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(docs_of) < 2:
         return None
