@@ -45,6 +45,7 @@ from orderloom.llm.shared import (
     blocks,
     for_python,
     from_python,
+    frugal,
     handover,
     hashed_words,
     keyed,
@@ -91,6 +92,7 @@ class Block:
 
 
 def _anchors(width: int, prefix: int):
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch.drop_duplicates("digest")
@@ -158,6 +160,7 @@ def _suffixes(width: int, prefix: int):
             }
         )
 
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, grams, lengthened = (list(batch[c]) for c in ("text", "grams", "lengthened"))
@@ -173,6 +176,7 @@ def _suffixes(width: int, prefix: int):
 def _judged(depth: int):
     """Stream over sorted subtrees: who is not the first to reach a deep node loses the window."""
 
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last_key, seen = None, {}
         for batch in batches:
@@ -205,6 +209,7 @@ def _judged(depth: int):
 
 
 def _cut(width: int, depth: int):
+    @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             total, removed, kept = [], [], []
@@ -238,8 +243,10 @@ def remove_repeats(docs: DataFrame, width: int = 20, prefix: int = 6) -> DataFra
     """doc_id, n_words, n_removed and kept_text (the words left, joined by one space) per row."""
     depth = width - prefix + 1
     base = keyed(docs).withColumn("text", F.col("text").cast("binary"))
+    # Read with the same columns in both joins below, so that one shuffle of it serves both.
     texts = base.select("row_key", "doc_id", "text")
 
+    place = F.coalesce("doc_id", F.lit(LAST)).alias("place")
     digest = F.xxhash64("text")
     anchors = base.select(digest.alias("digest"), "text").mapInPandas(
         _anchors(width, prefix), "anchor long, digest long, times int"
@@ -262,19 +269,17 @@ def remove_repeats(docs: DataFrame, width: int = 20, prefix: int = 6) -> DataFra
     )
     first = (
         base.groupBy(digest.alias("digest"), F.xxhash64(F.lit(1), "text"))
-        .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("place"), "row_key")).alias("f"))
-        .select("digest", "f.place", "f.row_key")
+        .agg(F.min(F.struct(place, "row_key")).alias("f"))
+        .select("digest", "f.row_key")
     )
     firsts = handover(
-        first.join(repeated, "digest", "left").select(
-            "row_key", "place", "grams", "lengthened"
-        ),
+        first.join(repeated, "digest", "left").select("row_key", "grams", "lengthened"),
         "first-texts",
     )
 
     cuts = (
         texts.join(firsts.where("grams IS NOT NULL"), "row_key")
-        .select("row_key", "text", "place", "grams", "lengthened")
+        .select("row_key", "text", place, "grams", "lengthened")
         .mapInPandas(
             _suffixes(width, prefix),
             "key long, place long, row_key long, at int, gone int, open int, hashes binary",
