@@ -7,7 +7,12 @@ RADIUS // 8. Items in reach of a window by any block are compared in full, and t
 radius are verified by the exact weighted Jaccard similarity of the two bags of shingles.
 
 A shingle weighs one divided by the number of items that hold it, so what many items share counts
-little. A window that shares no shingle with an item has similarity zero; sliding a window until a
+little. An item that shares shingles with others is also compared with all weights one, by
+fingerprints of their own: a window is a quote if either similarity reaches the threshold, so
+repeats and variants of an item in the benchmark never hide a copy of it. The weighted similarity is
+reported where it reaches the threshold, the unweighted one elsewhere.
+
+A window that shares no shingle with an item has similarity zero; sliding a window until a
 shared shingle stands at its start or its end loses none. So only windows that begin or end with a
 shingle of some item are fingerprinted, which skips no window that could be verified.
 
@@ -61,6 +66,29 @@ def _simhash(shingles: np.ndarray, weights: np.ndarray, begin: np.ndarray) -> np
     return np.ascontiguousarray(packed).view(np.uint64).ravel()
 
 
+class _Prints:
+    """Fingerprints of some items and their block tables."""
+
+    def __init__(self, items: np.ndarray, prints: np.ndarray):
+        self.items, self.prints = items, prints
+        # reach[b][v]: items whose block b is within RADIUS // 8 bits of v.
+        values = np.arange(256, dtype=np.uint8)
+        own = prints.view(np.uint8).reshape(-1, 8)
+        self.reach = [
+            np.bitwise_count(values[:, None] ^ own[None, :, b]) <= RADIUS // 8 for b in range(8)
+        ]
+
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (fingerprint, item) within the radius."""
+        own = prints.view(np.uint8).reshape(-1, 8)
+        maybe = np.zeros((len(prints), len(self.items)), dtype=bool)
+        for b in range(8):
+            maybe |= self.reach[b][own[:, b]]
+        row, item = np.nonzero(maybe)
+        close = np.bitwise_count(prints[row] ^ self.prints[item]) <= RADIUS
+        return row[close], self.items[item[close]]
+
+
 class ItemIndex:
     """Shingles, fingerprints and block tables of some benchmark items."""
 
@@ -85,7 +113,12 @@ class ItemIndex:
         counts = np.array([len(bag) for bag in bags])
         flat = np.concatenate(bags)
         weights = np.array([self.weight[s] for s in flat.tolist()])
-        self.prints = _simhash(flat, weights, np.cumsum(counts) - counts)
+        begin = np.cumsum(counts) - counts
+        self.prints = _Prints(np.arange(len(bags)), _simhash(flat, weights, begin))
+        # Items that share a shingle are looked up by unweighted fingerprints, too.
+        common = np.flatnonzero(np.minimum.reduceat(weights, begin) < 1)
+        plain = _simhash(flat, np.ones(len(flat)), begin)[common]
+        self.plain = _Prints(common, plain) if len(common) else None
         # For each width, the distinct shingles and the items that hold each.
         self.known = {}
         for width in sorted(set(self.width.tolist())):
@@ -99,12 +132,6 @@ class ItemIndex:
             weight = np.array([self.weight[s] for s in distinct.tolist()])
             holder = np.array([i for _, i in pairs], dtype=np.int64)
             self.known[width] = distinct, np.append(first, len(pairs)), holder, weight, table
-        # reach[b][v]: items whose block b is within RADIUS // 8 bits of v.
-        values = np.arange(256, dtype=np.uint8)
-        own = self.prints.view(np.uint8).reshape(-1, 8)
-        self.reach = [
-            np.bitwise_count(values[:, None] ^ own[None, :, b]) <= RADIUS // 8 for b in range(8)
-        ]
 
     def hits(self, shingles: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of shingles that some item holds, and their numbers."""
@@ -114,21 +141,14 @@ class ItemIndex:
         good = distinct[number] == shingles[at]
         return at[good], number[good]
 
-    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (fingerprint, item) within the radius."""
-        own = prints.view(np.uint8).reshape(-1, 8)
-        maybe = np.zeros((len(prints), len(self.ids)), dtype=bool)
-        for b in range(8):
-            maybe |= self.reach[b][own[:, b]]
-        row, item = np.nonzero(maybe)
-        close = np.bitwise_count(prints[row] ^ self.prints[item]) <= RADIUS
-        return row[close], item[close]
-
-    def similarity(self, window: np.ndarray, item: int) -> float:
+    def similarity(self, window: np.ndarray, item: int, plain: bool = False) -> float:
         bag = Counter(window.tolist())
+        own = self.bags[item]
+        if plain:
+            both = sum(min(n, own[s]) for s, n in bag.items() if s in own)
+            return both / (len(window) + own.total() - both)
         weight = self.weight
         total = sum(n * weight.get(s, 1.0) for s, n in bag.items())
-        own = self.bags[item]
         both = sum(min(n, own[s]) * weight[s] for s, n in bag.items() if s in own)
         return both / (total + self.total[item] - both)
 
@@ -138,7 +158,8 @@ class ItemIndex:
             return
         words, begin = hashed_words([t.lower() for t in texts])
         text_of_word = np.repeat(np.arange(len(texts)), np.diff(begin))
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        # (text, item): weighted or not, similarity, start; the weighted one goes first.
+        best: dict[tuple[int, int], tuple[bool, float, int]] = {}
         for width, (_, first, holder, weight, _) in self.known.items():
             shingles = windows(words, width)
             inside = np.arange(len(shingles)) + width <= begin[1:][text_of_word[: len(shingles)]]
@@ -159,7 +180,7 @@ class ItemIndex:
                 start = np.clip(start, lowest, highest)
                 count = np.minimum(size, begin[1:][text] - start) - width + 1
                 self._compare(shingles, start, count, text, width, weight, threshold, begin, best)
-        for (text, item), (similarity, start) in sorted(best.items()):
+        for (text, item), (_, similarity, start) in sorted(best.items()):
             yield text, item, -start, similarity
 
     def _compare(self, shingles, start, count, text, width, weight, threshold, begin, best):
@@ -174,16 +195,20 @@ class ItemIndex:
             weights = np.ones(len(window))
             at, number = self.hits(window, width)
             weights[at] = weight[number]
-            prints = _simhash(window, weights, total - size)
-            for row, item in zip(*self.near(prints), strict=True):
-                if self.width[item] != width:
+            for near, weights in ((self.prints, weights), (self.plain, np.ones(len(window)))):
+                if near is None:
                     continue
-                i = a + row
-                similarity = self.similarity(shingles[start[i] : start[i] + count[i]], item)
-                if similarity >= threshold:
-                    key = (int(text[i]), int(item))
-                    found = (similarity, -int(start[i] - begin[text[i]]))
-                    best[key] = max(best.get(key, (0.0, 0)), found)
+                for row, item in zip(*near.near(_simhash(window, weights, total - size)), strict=True):
+                    if self.width[item] != width:
+                        continue
+                    i = a + row
+                    own = shingles[start[i] : start[i] + count[i]]
+                    similarity = self.similarity(own, item, near is self.plain)
+                    if similarity >= threshold:
+                        key = (int(text[i]), int(item))
+                        place = -int(start[i] - begin[text[i]])
+                        found = (near is self.prints, similarity, place)
+                        best[key] = max(best.get(key, (False, 0.0, 0)), found)
 
 
 def leaks(

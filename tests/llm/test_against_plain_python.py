@@ -317,6 +317,32 @@ def test_contamination_of_edited_passages(spark, make_docs):
     assert {r.doc_id: list(r["items"]) for r in found} == plain_leaks(rows, items)
 
 
+def quotes(texts, items):
+    """Items quoted by weighted or by unweighted similarity."""
+    alone = [plain_leaks(texts, [item]) for item in items]  # one item: all weights are one
+    together = plain_leaks(texts, items)
+    return {i: sorted({*together[i], *(x for a in alone for x in a[i])}) for i, _ in texts}
+
+
+@pytest.mark.parametrize("times", [1, 2, 4])
+def test_contamination_by_repeated_and_near_equal_items(spark, make_docs, times):
+    words = [[f"{kind}{i}" for i in range(60)] for kind in "abc"]
+    changed = [[*w[:30], "other", *w[31:]] for w in words]
+    items = [(k, " ".join(words[0])) for k in range(times)]  # repeated
+    items += [(10 + k, " ".join([*words[1][:50], f"v{k}", *words[1][51:]])) for k in range(times)]
+    items += [(20, " ".join(words[2]))]
+    rows = [(i, " ".join(["x"] * 9 + w + ["y"] * 9)) for i, w in enumerate(changed + words)]
+    rows += [(6, " ".join(words[0][:40])), (7, "nothing of all this")]
+    found = decontamination.contamination(
+        make_docs(rows), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {r.doc_id: list(r["items"]) for r in found} == quotes(rows, items)
+    assert {0, 2, 3, 4, 5} <= {r.doc_id for r in found if r.contaminated}
+    assert {r.similarity >= 0.8 for r in found if r.contaminated} == {True}
+    first = next(r for r in found if r.doc_id == 0)
+    assert list(first["items"]) == list(range(times)) and round(first.similarity, 3) == 0.836
+
+
 def test_exact_duplicates_in_more_rounds(make_docs):
     rows = [(i, "Same" if i % 3 else f"t{i // 2}") for i in range(100)]
     docs = make_docs(rows)
