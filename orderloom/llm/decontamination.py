@@ -16,8 +16,11 @@ A window that shares no shingle with an item has similarity zero; sliding a wind
 shared shingle stands at its start or its end loses none. So only windows that begin or end with a
 shingle of some item are fingerprinted, which skips no window that could be verified.
 
-The benchmark is taken in blocks of at most `BLOCK_BYTES`, each sent to the tasks as a whole; every
-block meets all documents.
+The benchmark is taken in blocks of about `BLOCK_BYTES`, each sent to the tasks as a whole; every
+block meets all documents. With more than one block, Spark counts the items that hold each shingle over
+the whole benchmark, and each block carries all shingles that several items hold with their weights
+(16 bytes each). An item is compared with windows of its own size that begin or end with one of its own
+shingles, or stand at an end of the document; so results do not depend on the blocks.
 
 Defined cases: null text counts as empty; items without words match nothing; an item of fewer words
 than a shingle is one shingle of all its words; a document shorter than the item is one window, and
@@ -66,6 +69,27 @@ def _simhash(shingles: np.ndarray, weights: np.ndarray, begin: np.ndarray) -> np
     return np.ascontiguousarray(packed).view(np.uint64).ravel()
 
 
+def _distinct(bag: Counter) -> np.ndarray:
+    return np.fromiter(bag, dtype=np.uint64, count=len(bag))
+
+
+def _table(values: np.ndarray) -> np.ndarray:
+    """Which leading bits the values have."""
+    table = np.zeros(1 << _TABLE_BITS, dtype=bool)
+    table[values >> np.uint64(64 - _TABLE_BITS)] = True
+    return table
+
+
+def _found(
+    shingles: np.ndarray, distinct: np.ndarray, table: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the shingles that are among the distinct ones, and their numbers there."""
+    at = np.flatnonzero(table[shingles >> np.uint64(64 - _TABLE_BITS)])
+    number = np.minimum(np.searchsorted(distinct, shingles[at]), len(distinct) - 1)
+    good = distinct[number] == shingles[at]
+    return at[good], number[good]
+
+
 class _Prints:
     """Fingerprints of some items and their block tables."""
 
@@ -90,9 +114,18 @@ class _Prints:
 
 
 class ItemIndex:
-    """Shingles, fingerprints and block tables of some benchmark items."""
-
-    def __init__(self, items: list[tuple[int, bytes]], shingle: int = SHINGLE):
+    """Shingles, fingerprints and block tables of some benchmark items.
+
+    `shared` has the shingles that several items of the whole benchmark hold, in order, and the
+    numbers of those items; without it the given items are the whole benchmark.
+    """
+
+    def __init__(
+        self,
+        items: list[tuple[int, bytes]],
+        shingle: int = SHINGLE,
+        shared: tuple[np.ndarray, np.ndarray] | None = None,
+    ):
         words, begin = hashed_words([text.lower() for _, text in items])
         self.ids, self.size, self.width, bags = [], [], [], []
         for i, (item_id, _) in enumerate(items):
@@ -103,16 +136,26 @@ class ItemIndex:
                 self.width.append(min(shingle, len(own)))
                 bags.append(windows(own, self.width[-1]))
         self.bags = [Counter(bag.tolist()) for bag in bags]
-        held = Counter(s for bag in self.bags for s in bag)
-        self.weight = {s: 1 / n for s, n in held.items()}
-        self.total = [sum(n * self.weight[s] for s, n in bag.items()) for bag in self.bags]
+        if shared is None:
+            held = Counter(s for bag in self.bags for s in bag)
+            several = sorted((s, n) for s, n in held.items() if n > 1)
+            shared = (
+                np.array([s for s, _ in several], dtype=np.uint64),
+                np.array([n for _, n in several], dtype=np.int64),
+            )
+        self.shared, self.light = shared[0], 1 / shared[1]
+        self.shared_table = _table(self.shared)
+        self.total = [
+            sum(n * w for n, w in zip(bag.values(), self.weights(_distinct(bag)), strict=True))
+            for bag in self.bags
+        ]
         self.size = np.array(self.size, dtype=np.int64)
         self.width = np.array(self.width, dtype=np.int64)
         if not bags:
             return
         counts = np.array([len(bag) for bag in bags])
         flat = np.concatenate(bags)
-        weights = np.array([self.weight[s] for s in flat.tolist()])
+        weights = self.weights(flat)
         begin = np.cumsum(counts) - counts
         self.prints = _Prints(np.arange(len(bags)), _simhash(flat, weights, begin))
         # Items that share a shingle are looked up by unweighted fingerprints, too.
@@ -127,19 +170,21 @@ class ItemIndex:
             )
             value = np.array([s for s, _ in pairs], dtype=np.uint64)
             distinct, first = np.unique(value, return_index=True)
-            table = np.zeros(1 << _TABLE_BITS, dtype=bool)
-            table[distinct >> np.uint64(64 - _TABLE_BITS)] = True
-            weight = np.array([self.weight[s] for s in distinct.tolist()])
             holder = np.array([i for _, i in pairs], dtype=np.int64)
-            self.known[width] = distinct, np.append(first, len(pairs)), holder, weight, table
+            self.known[width] = distinct, np.append(first, len(pairs)), holder, _table(distinct)
 
     def hits(self, shingles: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of shingles that some item holds, and their numbers."""
-        distinct, _, _, _, table = self.known[width]
-        at = np.flatnonzero(table[shingles >> np.uint64(64 - _TABLE_BITS)])
-        number = np.minimum(np.searchsorted(distinct, shingles[at]), len(distinct) - 1)
-        good = distinct[number] == shingles[at]
-        return at[good], number[good]
+        distinct, _, _, table = self.known[width]
+        return _found(shingles, distinct, table)
+
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        """One divided by the number of items of the whole benchmark that hold each shingle; one
+        where none does."""
+        weights = np.ones(len(shingles))
+        at, number = _found(shingles, self.shared, self.shared_table)
+        weights[at] = self.light[number]
+        return weights
 
     def similarity(self, window: np.ndarray, item: int, plain: bool = False) -> float:
         bag = Counter(window.tolist())
@@ -147,9 +192,9 @@ class ItemIndex:
         if plain:
             both = sum(min(n, own[s]) for s, n in bag.items() if s in own)
             return both / (len(window) + own.total() - both)
-        weight = self.weight
-        total = sum(n * weight.get(s, 1.0) for s, n in bag.items())
-        both = sum(min(n, own[s]) * weight[s] for s, n in bag.items() if s in own)
+        weighted = list(zip(bag.items(), self.weights(_distinct(bag)).tolist(), strict=True))
+        total = sum(n * w for (_, n), w in weighted)
+        both = sum(min(n, own[s]) * w for (s, n), w in weighted if s in own)
         return both / (total + self.total[item] - both)
 
     def leaks(self, texts: list[bytes], threshold: float) -> Iterator[tuple[int, int, int, float]]:
@@ -160,7 +205,7 @@ class ItemIndex:
         text_of_word = np.repeat(np.arange(len(texts)), np.diff(begin))
         # (text, item): weighted or not, similarity, start; the weighted one goes first.
         best: dict[tuple[int, int], tuple[bool, float, int]] = {}
-        for width, (_, first, holder, weight, _) in self.known.items():
+        for width, (_, first, holder, _) in self.known.items():
             shingles = windows(words, width)
             inside = np.arange(len(shingles)) + width <= begin[1:][text_of_word[: len(shingles)]]
             at, number = self.hits(shingles, width)
@@ -179,30 +224,35 @@ class ItemIndex:
             for start in (place, place + width - size):
                 start = np.clip(start, lowest, highest)
                 count = np.minimum(size, begin[1:][text] - start) - width + 1
-                self._compare(shingles, start, count, text, width, weight, threshold, begin, best)
+                self._compare(shingles, start, count, text, width, threshold, begin, best)
         for (text, item), (_, similarity, start) in sorted(best.items()):
             yield text, item, -start, similarity
 
-    def _compare(self, shingles, start, count, text, width, weight, threshold, begin, best):
+    def _compare(self, shingles, start, count, text, width, threshold, begin, best):
         _, chosen = np.unique(np.column_stack([start, count]), axis=0, return_index=True)
         start, count, text = start[chosen], count[chosen], text[chosen]
+        lowest, highest = begin[:-1][text], begin[1:][text]
         step = 4096
         for a in range(0, len(start), step):
             size = count[a : a + step]
             total = np.cumsum(size)
             flat = np.arange(total[-1]) - np.repeat(total - size, size)
             window = shingles[np.repeat(start[a : a + step], size) + flat]
-            weights = np.ones(len(window))
-            at, number = self.hits(window, width)
-            weights[at] = weight[number]
-            for near, weights in ((self.prints, weights), (self.plain, np.ones(len(window)))):
+            for near in (self.prints, self.plain):
                 if near is None:
                     continue
-                for row, item in zip(*near.near(_simhash(window, weights, total - size)), strict=True):
-                    if self.width[item] != width:
-                        continue
-                    i = a + row
+                weights = np.ones(len(window)) if near is self.plain else self.weights(window)
+                row, item = near.near(_simhash(window, weights, total - size))
+                row += a
+                # Windows of the item's size, or whole texts that are shorter.
+                words = np.minimum(self.size[item], (highest - lowest)[row])
+                fits = (self.width[item] == width) & (count[row] == words - width + 1)
+                for i, item, words in zip(row[fits], item[fits], words[fits], strict=True):
                     own = shingles[start[i] : start[i] + count[i]]
+                    edge = start[i] == lowest[i] or start[i] + words == highest[i]
+                    bag = self.bags[item]
+                    if not (edge or int(own[0]) in bag or int(own[-1]) in bag):
+                        continue
                     similarity = self.similarity(own, item, near is self.plain)
                     if similarity >= threshold:
                         key = (int(text[i]), int(item))
@@ -211,6 +261,30 @@ class ItemIndex:
                         best[key] = max(best.get(key, (False, 0.0, 0)), found)
 
 
+def _shared(items: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several items hold, in order, and the numbers of those items."""
+
+    @frugal
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [t.lower() for t in batch["text"]]
+            for i, j in blocks(texts):
+                words, begin = hashed_words(texts[i:j])
+                bags = [
+                    np.unique(windows(words[a:b], min(shingle, b - a)))
+                    for a, b in zip(begin[:-1], begin[1:], strict=True)
+                    if b > a
+                ]
+                if bags:
+                    yield pd.DataFrame({"shingle": np.concatenate(bags).view(np.int64)})
+
+    held = items.select("text").mapInPandas(run, "shingle long").groupBy("shingle").count()
+    several = held.where("count > 1").toArrow()
+    shingles = several["shingle"].to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], several["count"].to_numpy()[order]
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, shingle: int = SHINGLE
 ) -> DataFrame:
@@ -223,10 +297,11 @@ def leaks(
     parts = 1 + size // BLOCK_BYTES
     texts = keyed(docs).select("row_key", F.col("text").cast("binary").alias("text"))
     schema = "row_key long, item_id long, start int, similarity double"
+    shared = _shared(items, shingle) if parts > 1 else None
     found = None
     for part in range(parts):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        index = ItemIndex([(r.item_id, bytes(r.text)) for r in block.collect()], shingle)
+        index = ItemIndex([(r.item_id, bytes(r.text)) for r in block.collect()], shingle, shared)
 
         @frugal
         def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:

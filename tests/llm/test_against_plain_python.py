@@ -343,6 +343,35 @@ def test_contamination_by_repeated_and_near_equal_items(spark, make_docs, times)
     assert list(first["items"]) == list(range(times)) and round(first.similarity, 3) == 0.836
 
 
+def test_contamination_does_not_depend_on_the_blocks(spark, make_docs, monkeypatch):
+    random = np.random.default_rng(6)
+    template = [f"t{i}" for i in range(25)]
+    items, rows = [], []
+    for i in range(12):
+        own = [f"w{w}" for w in random.integers(0, 2000, 30 + i % 3)]
+        items.append((i, " ".join([*template[: 25 * (i % 4 > 0)], *own])))
+        words = items[-1][1].split()
+        for edits in range(6):
+            copy = list(words)
+            for at in random.integers(0, len(copy), edits):
+                copy[int(at)] = "other" if edits % 2 else template[int(at) % 25]
+            rows.append((10 * i + edits, " ".join([*template[:7], *copy, *template[9:]])))
+        rows.append((10 * i + 6, " ".join([*words[:20], "more", *words[20:]])))
+        rows.append((10 * i + 7, " ".join(words[2:])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = make_docs(rows)
+
+    def found():
+        rows = decontamination.contamination(docs, benchmark).collect()
+        return {r.doc_id: (list(r["items"]), round(r.similarity, 12)) for r in rows}
+
+    whole = found()
+    assert {i: found for i, (found, _) in whole.items()} == quotes(rows, items)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 800)
+    assert sum(len(t) for _, t in items) > 3 * 800
+    assert found() == whole
+
+
 def test_exact_duplicates_in_more_rounds(make_docs):
     rows = [(i, "Same" if i % 3 else f"t{i // 2}") for i in range(100)]
     docs = make_docs(rows)
