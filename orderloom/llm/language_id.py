@@ -7,8 +7,9 @@ profile's length for an n-gram it lacks. The nearest profile wins; the score is
 second smallest distance in the two smallest, so 0.5 is a tie. N-grams that no profile knows would
 add the same distance for every language and are left out.
 
-Profiles are fitted on up to `SAMPLE_DOCS` whole documents of each of the `MAX_LANGUAGES` most
-frequent languages. All documents are scored over their whole texts.
+Profiles are fitted on about `SAMPLE_DOCS` whole documents of each language. All documents are scored
+over their whole texts. All letters and n-grams of all profiles count: an n-gram's code holds the
+code points of its letters, 21 bits each.
 
 Defined cases: null text, and text without letters, is `und` with score 0; so is everything if no
 language was learnt; a text none of whose n-grams any profile knows gets the most frequent
@@ -28,18 +29,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.sampling import sample_ids, sample_texts
 from orderloom.llm.shared import crc_fold, for_python, from_python, text_of
 
 PROFILE = 300
 LONGEST = 3
 SAMPLE_DOCS = 1500
-MAX_LANGUAGES = 500
-#: Letters told apart when scoring: the most frequent ones of the profiles.
-ALPHABET = 254
 UNKNOWN = "und"
 #: Characters handled at once; longer texts are cut at blanks, which no n-gram spans.
 BLOCK_CHARS = 1 << 19
+#: Distances (texts by languages) held at once.
+BLOCK_DISTANCES = 1 << 22
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -72,16 +71,17 @@ def fit(docs: DataFrame, learnable: Column, sample: int = SAMPLE_DOCS) -> dict[s
         text_of(docs).alias("text"),
         learnable.alias("learn"),
     ).where("learn AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    frequent = [
-        r.lang
-        for r in known.groupBy("lang")
-        .count()
-        .orderBy(F.desc("count"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    ]
-    chosen = sample_ids(known.where(F.col("lang").isin(frequent)), "lang", sample)
-    some = sample_texts(known.select("doc_id", "lang", "text"), chosen)
+    sizes = known.groupBy("lang").agg(F.count("*").alias("size"))
+    frequent = [r.lang for r in sizes.orderBy(F.desc("size"), "lang").collect()]
+    # The documents of each language with the least hashes, each id once.
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
+    share = (F.lit(float((1 << 30) * sample)) / F.greatest("size", F.lit(sample))).cast("long")
+    some = (
+        known.join(F.broadcast(sizes), "lang")
+        .where(draw < share)
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))
+    )
     counts = (
         some.select("lang", "text")
         .mapInPandas(_counted, "lang string, gram string, n long")
@@ -101,76 +101,142 @@ def _is_letter() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)], dtype=bool)
 
 
+#: Bits of a code point within an n-gram's code.
+_POINT_BITS = 21
+
+
+class Counts:
+    """How often texts have n-grams: text times vocabulary plus n-gram, in order, and a number."""
+
+    def __init__(self, place: np.ndarray, number: np.ndarray):
+        self.place, self.number = place, number
+
+    def __add__(self, other: Counts) -> Counts:
+        place, where = np.unique(np.concatenate([self.place, other.place]), return_inverse=True)
+        number = np.zeros(len(place), dtype=np.int64)
+        np.add.at(number, where, np.concatenate([self.number, other.number]))
+        return Counts(place, number)
+
+    def __radd__(self, zero: int) -> Counts:
+        return self
+
+    def __eq__(self, other: Counts) -> np.bool_:
+        same = np.array_equal(self.place, other.place) and np.array_equal(self.number, other.number)
+        return np.bool_(same)
+
+
+def _packed(gram: str) -> int:
+    place = 0
+    for c in gram:
+        place = place << _POINT_BITS | ord(c)
+    return place
+
+
 class Scorer:
     """Distances of texts to profiles."""
 
     def __init__(self, profiles: dict[str, list[str]]):
         self.languages = list(profiles)
-        letters = Counter(c for grams in profiles.values() for g in grams for c in g if c != " ")
-        self.alphabet = " " + "".join(c for c, _ in letters.most_common(ALPHABET))
-        code = {c: i + 1 for i, c in enumerate(self.alphabet)}
-        known = sorted({g for grams in profiles.values() for g in grams if all(c in code for c in g)})
+        known = sorted({g for grams in profiles.values() for g in grams})
         self.vocabulary = len(known)
         number = {g: i for i, g in enumerate(known)}
-        # Codes: 0 a letter outside the alphabet, 1 a blank, from 2 the letters.
-        self.code = np.where(_is_letter(), 0, 1).astype(np.uint8)
-        for c, i in code.items():
-            self.code[ord(c)] = i
-        self.tables = [np.full(1 << 8 * n, -1, dtype=np.int32) for n in range(1, LONGEST + 1)]
-        for gram, i in number.items():
-            place = 0
-            for c in gram:
-                place = place << 8 | code[c]
-            self.tables[len(gram) - 1][place] = i
-        self.rank = np.full((len(profiles), len(known)), -1, dtype=np.int32)
-        for row, grams in enumerate(profiles.values()):
-            for r, g in enumerate(grams):
-                if g in number:
-                    self.rank[row, number[g]] = r
-
-    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # A letter's code is its code point; all that is not part of a word is a blank.
+        self.code = np.where(_is_letter(), np.arange(0x110000), ord(" "))
+        for c in {c for g in known for c in g}:
+            self.code[ord(c)] = ord(c)
+        self.tables = []
+        for n in range(1, LONGEST + 1):
+            coded = sorted((_packed(g), i) for g, i in number.items() if len(g) == n)
+            self.tables.append(tuple(np.array(coded, dtype=np.int64).reshape(-1, 2).T.copy()))
+        # For each n-gram the languages whose profile has it, and its rank there.
+        held = sorted(
+            (number[g], row, r) for row, grams in enumerate(profiles.values()) for r, g in enumerate(grams)
+        )
+        gram, self.holder, self.rank = np.array(held, dtype=np.int64).reshape(-1, 3).T.copy()
+        self.first = np.searchsorted(gram, np.arange(self.vocabulary + 1))
+
+    def counts(self, texts: list[str]) -> tuple[Counts, np.ndarray]:
         """How often each text has each known n-gram, and whether it has a letter."""
-        lowered = [f"\n{t.lower()}" for t in texts]
+        # A blank of its own ends each text, so that its last n-grams are its own, too.
+        lowered = [f"\n{t.lower()}\n" for t in texts]
         lengths = np.array([len(t) for t in lowered])
-        points = np.frombuffer(("".join(lowered) + "\n").encode("utf-32-le", "replace"), dtype=np.uint32)
+        points = np.frombuffer("".join(lowered).encode("utf-32-le", "replace"), dtype=np.uint32)
         codes = self.code[points]
-        text = np.append(np.repeat(np.arange(len(texts)), lengths), len(texts) - 1)
-        letter = codes != 1
+        text = np.repeat(np.arange(len(texts)), lengths)
+        letter = codes != ord(" ")
         lettered = np.bincount(text[letter], minlength=len(texts)) > 0
         # One blank between words, and one at each end of a text.
         stay = letter.copy()
         stay[0] = True
         stay[1:] |= letter[:-1]
-        wide, text = codes[stay].astype(np.int32), text[stay]
-        found = np.zeros(len(texts) * self.vocabulary, dtype=np.int64)
-        place = np.zeros(len(wide), dtype=np.int32)
+        wide, text = codes[stay], text[stay]
+        found = []
+        place = np.zeros(len(wide), dtype=np.int64)
         for n in range(1, LONGEST + 1):
-            place = (place[: len(wide) - n + 1] << 8) | wide[n - 1 :]
-            gram = self.tables[n - 1][place]
-            hit = gram >= 0
-            owner = text[n - 1 :][hit] if n == 1 else text[1 : len(gram) + 1][hit]
-            found += np.bincount(owner * self.vocabulary + gram[hit], minlength=len(found))
-        return found.reshape(len(texts), self.vocabulary), lettered
-
-    def judge(self, counts: np.ndarray, lettered: np.ndarray) -> tuple[list[str], np.ndarray]:
+            place = (place[: len(wide) - n + 1] << _POINT_BITS) | wide[n - 1 :]
+            coded, number = self.tables[n - 1]
+            if not len(coded):
+                continue
+            at = np.minimum(np.searchsorted(coded, place), len(coded) - 1)
+            hit = coded[at] == place
+            owner = text[n - 1 :][hit] if n == 1 else text[1 : len(place) + 1][hit]
+            found.append(owner * self.vocabulary + number[at[hit]])
+        found = np.concatenate([np.zeros(0, dtype=np.int64), *found])
+        if len(texts) * self.vocabulary <= 4 * len(found):  # counting is cheaper than sorting
+            number = np.bincount(found)
+            place = np.flatnonzero(number)
+            return Counts(place, number[place]), lettered
+        return Counts(*np.unique(found, return_counts=True)), lettered
+
+    def judge(self, counts: Counts, lettered: np.ndarray) -> tuple[list[str], np.ndarray]:
+        names, scores = [], []
+        step = max(1, BLOCK_DISTANCES // max(1, len(self.languages)))
+        for a in range(0, len(lettered), step):
+            some = lettered[a : a + step]
+            begin, end = np.searchsorted(
+                counts.place, np.array([a, a + len(some)]) * self.vocabulary
+            )
+            place = counts.place[begin:end] - a * self.vocabulary
+            name, score = self._judge(Counts(place, counts.number[begin:end]), some)
+            names += name
+            scores.append(score)
+        return names, np.concatenate([np.zeros(0), *scores])
+
+    def _judge(self, counts: Counts, lettered: np.ndarray) -> tuple[list[str], np.ndarray]:
+        texts, languages = len(lettered), len(self.languages)
         if not self.vocabulary:
-            return [UNKNOWN] * len(counts), np.zeros(len(counts))
-        order = np.argsort(-counts, axis=1, kind="stable")[:, :PROFILE]
-        row = np.repeat(np.arange(len(counts)), order.shape[1])
-        rank, gram = np.tile(np.arange(order.shape[1]), len(counts)), order.ravel()
-        present = counts[row, gram] > 0
-        row, rank, gram = row[present], rank[present], gram[present]
-        distances = np.empty((len(self.languages), len(counts)))
-        for i, own in enumerate(self.rank):
-            place = own[gram]
-            apart = np.where(place < 0, PROFILE, np.minimum(np.abs(place - rank), PROFILE))
-            distances[i] = np.bincount(row, apart, len(counts))
+            return [UNKNOWN] * texts, np.zeros(texts)
+        # The most frequent n-grams of each text first, equal ones by their numbers.
+        row, gram = np.divmod(counts.place, self.vocabulary)
+        order = np.lexsort((gram, -counts.number, row))
+        row, gram = row[order], gram[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        top = rank < PROFILE
+        row, gram, rank = row[top], gram[top], rank[top]
+        known = np.bincount(row, minlength=texts)
+        # What each language that has the n-gram is nearer than one that lacks it.
+        nearer = np.zeros(texts * languages)
+        times = self.first[gram + 1] - self.first[gram]
+        total = np.cumsum(times)
+        begin = 0
+        while begin < len(row):
+            # As many n-grams as have about BLOCK_DISTANCES holders together.
+            before = total[begin] - times[begin]
+            end = max(begin + 1, int(np.searchsorted(total, before + BLOCK_DISTANCES, side="right")))
+            own = times[begin:end]
+            pair = np.repeat(np.arange(begin, end), own)
+            at = np.arange(len(pair)) - np.repeat(np.cumsum(own) - own, own) + self.first[gram[pair]]
+            apart = np.minimum(np.abs(self.rank[at] - rank[pair]), PROFILE)
+            place = row[pair] * languages + self.holder[at]
+            nearer += np.bincount(place, PROFILE - apart, len(nearer))
+            begin = end
+        distances = (known[:, None] * float(PROFILE) - nearer.reshape(texts, languages)).T
         best = distances.argmin(axis=0)
         if len(distances) > 1:
             first, second = np.partition(distances, 1, axis=0)[:2]
         else:
-            first, second = distances[0], np.bincount(row, minlength=len(counts)) * float(PROFILE)
-        score = np.divide(second, first + second, out=np.zeros(len(counts)), where=second > 0)
+            first, second = distances[0], known * float(PROFILE)
+        score = np.divide(second, first + second, out=np.zeros(texts), where=second > 0)
         names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
         return names, np.where(lettered, score, 0.0)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -169,6 +170,52 @@ def test_language_of_a_text_of_many_blocks(monkeypatch):
     assert lettered.all() and (sum(parts) == whole).all()
 
 
+def test_language_of_many_scripts(make_docs):
+    """More than 254 letters and 500 languages; each language has letters of its own."""
+    words = {f"l{i:03}": "".join(chr(0x4E00 + 3 * i + k) for k in range(3)) for i in range(620)}
+    rows = [(7 * i + k, f"{w} {w[::-1]} {w}", lang) for i, (lang, w) in enumerate(words.items()) for k in range(7)]
+    found = language_id.identify(make_docs(rows)).collect()
+    learnt = {rows[r.doc_id][2] for r in found if not r.held_out}
+    assert len(learnt) > 600
+    assert [r for r in found if rows[r.doc_id][2] in learnt and r.lang_pred != rows[r.doc_id][2]] == []
+    assert all(r.score > 0.5 for r in found if rows[r.doc_id][2] in learnt)
+
+
+@pytest.mark.parametrize("block", [1, 1 << 22])
+def test_language_scores_by_plain_python(monkeypatch, block):
+    monkeypatch.setattr(language_id, "BLOCK_DISTANCES", block)
+    random = np.random.default_rng(3)
+
+    def text(low, size):
+        letters = [chr(low + int(c)) for c in random.integers(0, 200, size)]
+        return "".join(c + " " * (random.random() < 0.4) for c in letters)
+
+    scripts = {"han": 0x4E00, "hangul": 0xAC00, "kana": 0x3041, "latin": 0x100, "rare": 0x20000}
+    profiles = {}
+    for lang, low in scripts.items():
+        grams = sorted(language_id._grams(text(low, 3000)).items(), key=lambda g: (-g[1], g[0]))
+        profiles[lang] = [g for g, _ in grams[:300]]
+    assert len({c for grams in profiles.values() for g in grams for c in g}) > 500
+    texts = [text(low, n) for low in scripts.values() for n in (1, 5, 80, 900)] + ["", "1 2", "ж"]
+    texts += [f"{text(0x4E00, 60)} {text(0xAC00, 50)}"]
+    scorer = language_id.Scorer(profiles)
+    known = {g for grams in profiles.values() for g in grams}
+    names, scores = scorer.judge(*scorer.counts(texts))
+    for name, score, own in zip(names, scores, texts, strict=True):
+        counts = [(-n, g) for g, n in language_id._grams(own).items() if g in known]
+        ranks = {g: r for r, (_, g) in enumerate(sorted(counts)[:300])}
+        distances = {
+            lang: sum(min(abs(p.index(g) - r), 300) if g in p else 300 for g, r in ranks.items())
+            for lang, p in profiles.items()
+        }
+        first, second = sorted(distances.values())[:2]
+        if not any(c.isalpha() for c in own):
+            assert (name, score) == ("und", 0)
+        else:
+            assert name == min(distances, key=distances.get)
+            assert score == (second / (first + second) if second else 0)
+
+
 def test_pipeline_stages(make_docs, spark, tmp_path, benchmark, labels):
     for name, frame in (("benchmark", benchmark), ("labels", labels), ("documents", make_docs(ROWS))):
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
