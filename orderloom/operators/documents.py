@@ -68,14 +68,19 @@ def order_payment(items: DataFrame) -> DataFrame:
 
 
 def item_pages(enriched: DataFrame, page_items: int = PAGE_ITEMS) -> DataFrame:
-    """(order_id, page, items, subtotal): the items of each order by listing, page by page.
+    """(order_id, page, items, subtotal): the items of each order by listing (as text), page by page.
+
+    The rank goes by the elements that the arrays are sorted by, so the pages one after another are
+    the order's whole array.
 
     An item's page follows from its rank in the order, so no order is counted beforehand and no
     page exceeds its bound. Ranking streams over an order's sorted rows and spills; grouping by
     order and page and the order's subtotal keep the partitioning, so there is one shuffle.
     """
     order = Window.partitionBy("order_id")
-    rank = F.row_number().over(order.orderBy("listing_id", "quantity", "price_at_purchase"))
+    item = _item()
+    fields = [item[f] for f in ("listing_id", "quantity", "extended_price", "product")]
+    rank = F.row_number().over(order.orderBy(*fields))
     page = F.expr(f"(rank - 1) div {page_items}")
     pages = (
         enriched.withColumn("rank", rank)

@@ -411,6 +411,11 @@ def _documents(m):
     return documents.order_snapshot(m.orders, m.items, m.listings, m.history)
 
 
+def _page() -> Column:
+    """A document's page, zero for the first."""
+    return F.coalesce(F.get(F.split("_id", "#"), F.lit(1)).cast("bigint"), F.lit(0))
+
+
 @query
 def order_items_enriched(m):
     return documents.enrich_items(m.items, m.listings).drop("amount")
@@ -476,7 +481,8 @@ def status_timeline(m):
 
 @query
 def order_snapshot(m):
-    """Whole documents but for the time they were taken, nested parts written out as text."""
+    """Whole documents but for the time they were taken, nested parts written out as text; one row
+    per order, with the items of its pages one after another."""
     money = "decimal(20,2)"
 
     def item(i: Column) -> Column:
@@ -495,11 +501,13 @@ def order_snapshot(m):
     def step(s: Column) -> Column:
         return F.concat_ws("|", s["status"], s["at"])
 
-    return _documents(m).select(
-        "_id",
+    pages = _documents(m).select(
+        F.col("order_id").alias("_id"),
         "order_id",
         "customer.customer_id",
-        F.array_join(F.transform("items", item), ";").alias("items"),
+        F.struct(
+            _page().alias("page"), F.array_join(F.transform("items", item), ";").alias("items")
+        ).alias("page"),
         F.array_join(F.transform("status_timeline", step), ";").alias("status_timeline"),
         "current_status",
         *lifecycle.MILESTONES,
@@ -510,13 +518,15 @@ def order_snapshot(m):
         "metrics.hours_to_deliver",
         "audit.source",
     )
+    whole = F.array_sort(F.collect_list("page"))["items"]
+    keys = [c for c in pages.columns if c != "page"]
+    return pages.groupBy(*keys).agg(F.array_join(whole, ";").alias("items"))
 
 
 @query
 def order_snapshot_items(m):
     """The items inside the finished documents."""
-    page = F.coalesce(F.get(F.split("_id", "#"), F.lit(1)).cast("bigint"), F.lit(0))
-    return _unrolled_items(_documents(m), page)
+    return _unrolled_items(_documents(m), _page())
 
 
 @query
