@@ -1,4 +1,7 @@
-"""Repeated passages, cut out through prefix-partitioned suffix trees over words.
+"""Repeated passages, cut out by hashes of word windows, grouped by minimizers.
+
+This stands in for prefix-partitioned suffix trees: no suffixes are sorted, and no maximal repeats
+derived; the words of suffix trees below only say what a group of windows corresponds to.
 
 A window is `width` consecutive words of one document. A window that also starts earlier (smaller
 doc_id, or the same document and an earlier start) is a repeat, and every word a repeat covers is
