@@ -1,11 +1,11 @@
-"""Near duplicates by SimHash, searched through tables of distances to pivots.
+"""Near duplicates by SimHash: equal blocks find the candidates, distances to pivots filter them.
 
 A fingerprint's coordinates are its Hamming distances to reference fingerprints (pivots). By the
 triangle inequality two fingerprints within `MAX_BITS` of each other differ by at most that much
 in every coordinate, so pairs with a larger difference are discarded; survivors are verified by
 their true distance.
 
-Pairs to compare come from the same tables: 64 bits are cut into blocks, and of `MAX_BITS + 2`
+Pairs to compare come from equal blocks, not from the coordinates: 64 bits are cut into blocks, and of `MAX_BITS + 2`
 blocks at least two are equal in any pair within `MAX_BITS`. For each choice of two blocks, the
 distances to pivots restricted to those blocks are a signature; equal blocks give equal
 signatures. Only distinct fingerprints enter, and only fingerprints that share a signature meet.
