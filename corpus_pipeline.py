@@ -57,8 +57,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Classifier scores, fingerprints and token ids are beyond SQL: tests hold run() against plain
-#: Python instead.
+#: Classifier scores, fingerprints and token ids are beyond SQL. No test holds run() against plain
+#: Python yet; line dedup, SimHash, decontamination and packing have such tests of their own.
 ORACLE_SQL = None
 
 

@@ -1,7 +1,7 @@
 """Toxicity by a bag of subword embeddings and a linear softmax, trained together in numpy.
 
 A text's subwords are the byte n-grams of three to five within its words, blanks around a word
-included, and the words themselves; each is hashed to one of `BUCKETS` embeddings. The mean
+included; each is hashed to one of `BUCKETS` embeddings. The mean
 embedding of a passage goes through a linear softmax. Misspelt or inflected words share most of
 their n-grams with the words seen in training, so they land near them.
 
