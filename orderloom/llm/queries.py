@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
+    collocations,
     decontamination,
     exact_dedup,
+    filter_audit,
     language_id,
     line_dedup,
+    mixing,
     packing,
     quality,
     secrets,
@@ -252,3 +255,132 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(lost), 0) AS n_removed,
         list_filter(range(1, len(w) + 1), lambda p: NOT list_contains(lost, p)), lambda p: w[p]) END, ' ')) AS kept_sha256
 FROM t LEFT JOIN lists USING (doc_id)
 """
+
+
+@query
+def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
+# The mix takes the first words of each source's repeated stream, so a document's share of them is
+# its overlap with as many rounds as the source may have.
+ORACLES["op11_source_mixing"] = """
+WITH d AS (
+    SELECT row_number() OVER () AS serial, doc_id, source,
+        coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::HUGEINT AS size
+    FROM documents),
+s AS (
+    SELECT source, sum(size)::HUGEINT AS n,
+        [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::HUGEINT AS w
+    FROM d GROUP BY source),
+o AS (
+    SELECT *, sum(n) OVER () AS words, sum(w) OVER () AS weight,
+        coalesce(sum(3 * n) OVER before, 0) AS limits, coalesce(sum(w) OVER before, 0) AS weights
+    FROM s WINDOW before AS (ORDER BY 30 * n // w, source NULLS LAST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, 3 * n * (weight - weights) <= w * (words - limits) AS capped FROM o),
+r AS (
+    SELECT *, words - coalesce(sum(3 * n) FILTER (capped) OVER (), 0) AS free,
+        weight - coalesce(sum(w) FILTER (capped) OVER (), 0) AS parts FROM c),
+t AS (
+    SELECT source, n::HUGEINT AS n,
+        CASE WHEN capped THEN (3 * n)::DOUBLE ELSE (w * free)::DOUBLE / parts::DOUBLE END AS target,
+        (CASE WHEN capped THEN 3 * n ELSE w * free // parts END)::HUGEINT AS share FROM r),
+p AS (
+    SELECT d.*, t.*, coalesce(sum(size) OVER (PARTITION BY d.source
+        ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size, serial
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS place
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, n::BIGINT AS source_size, target,
+    (greatest(0, least(size, share - place)) + greatest(0, least(size, share - n - place))
+        + greatest(0, least(size, share - 2 * n - place)))::BIGINT AS taken
+FROM p
+"""
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op12_collocations"] = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+places AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+        SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 5) AS sizes(k))),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, phrase, k, f, cut, string_split(phrase, ' ') AS w
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM counts WHERE k >= 2)),
+sides AS (
+    SELECT c.lang, c.phrase, c.k, c.f AS a, cut, x.f AS l, y.f AS r,
+        (2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f))::BIGINT AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+lowest AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth
+        FROM sides) WHERE nth = 1),
+inside AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS cover FROM (
+        SELECT lang, string_split(phrase, ' ') AS w, f, size, unnest(range(1, k - size + 2)) AS i
+        FROM counts, range(2, 4) AS sizes(size) WHERE size < k) GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+    FROM lowest b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE cover IS NULL OR 100::HUGEINT * cover < 80::HUGEINT * a)
+JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLES["op13_filter_audit"] = """
+WITH t AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+worded AS (
+    SELECT *, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') AS w,
+        min(doc_id) OVER (PARTITION BY body) AS first FROM t),
+failing AS (
+    SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * length(body) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails FROM worded),
+marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+    FROM labels GROUP BY doc_id),
+sets AS (
+    SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS x, filter_order[1:step - 1] AS before
+    FROM orders, range(1, 6) AS numbers(step)),
+judged AS (
+    SELECT part, filter_order, step, x, n, good, toxic, fails, contains(fails, x) AS fail,
+        translate(fails, before, '') <> fails AS gone FROM sets, steps),
+counted AS (
+    SELECT part, filter_order, step, x, sum(n) FILTER (NOT gone AND NOT fail) AS kept,
+        sum(n) FILTER (fail AND NOT gone) AS removed, sum(n) FILTER (fail AND gone) AS redundant,
+        sum(n) FILTER (fails = x) AS unique_fails, sum(good) FILTER (fail AND NOT gone) AS good_lost,
+        sum(toxic) FILTER (fail AND NOT gone) AS toxic_lost
+    FROM judged GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept,
+    coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+    coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+    coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    (sum(coalesce(removed, 0)) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counted
+"""
