@@ -28,12 +28,14 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("source")
     load.add_argument("root")
     load.add_argument("--on-reject", choices=("fail", "quarantine"), default="fail")
+    load.add_argument("--run", help="a name; a broken load of that name is taken up again")
     delete = commands.add_parser("delete", help="published rows by key, and what they own")
     delete.add_argument("root")
     delete.add_argument("table", choices=tuple(TABLES))
     delete.add_argument("keys", help="CSV with a header and the table's key columns")
     snapshot = commands.add_parser("snapshot", help="one document per published order")
     snapshot.add_argument("root")
+    snapshot.add_argument("--full", action="store_true", help="build unchanged orders again, too")
     report = commands.add_parser("report", help="a question about published data")
     report.add_argument("root")
     report.add_argument("name", choices=tuple(reports.REPORTS))
@@ -46,10 +48,11 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"orderloom {args.command}").getOrCreate())
     if args.command == "clean":
-        done = jobs.clean_files(spark, args.source, args.target, multiline=args.multiline)
-        print("cleaned:", ", ".join(done))
+        report = jobs.clean_feeds(spark, args.source, args.target, multiline=args.multiline)
+        for name, counts in report.items():
+            print(f"cleaned {name}:", ", ".join(f"{what} {n}" for what, n in counts.items() if n))
     elif args.command == "load":
-        print(jobs.load_tables(spark, args.source, args.root, args.on_reject))
+        print(jobs.load_tables(spark, args.source, args.root, args.on_reject, args.run))
     elif args.command == "delete":
         table = TABLES[args.table]
         types = {f.name: f.type for f in table.fields}
@@ -58,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         print("deleted:", jobs.delete_rows(spark, args.root, args.table, keys))
     elif args.command == "snapshot":
-        print(jobs.snapshot_orders(spark, args.root))
+        print(jobs.snapshot_orders(spark, args.root, args.full))
     else:
         result = reports.REPORTS[args.name](TableStore(spark, args.root), *args.argument)
         if args.out:

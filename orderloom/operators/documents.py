@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.temporal import iso_utc
 from orderloom.operators.lifecycle import MILESTONES, order_lifecycle, timeline, with_hours
+from orderloom.operators.ranking import running_totals
 from orderloom.schemas import DOCUMENT
 
 # Fixed values every document carries.
 CURRENCY = "SGD"
 SOURCE = "mysql-snapshot"
 
-# Items one document holds at most. A larger order goes on in further documents (pages), because a
-# document is a single row and an order may own any share of all items.
-PAGE_ITEMS = 50_000
-
 ITEM_TYPE = DOCUMENT["items"].dataType
 
 
@@ -49,8 +48,10 @@ def _item() -> Column:
     )
 
 
-def _item_list() -> Column:
-    return F.sort_array(F.collect_list(_item())).alias("items")
+def _item_fields() -> list[Column]:
+    """What an order's items are sorted by: the parts of the array's elements, one after another."""
+    item = _item()
+    return [item[f] for f in ("listing_id", "quantity", "extended_price", "product")]
 
 
 def _subtotal() -> Column:
@@ -67,51 +68,51 @@ def order_payment(items: DataFrame) -> DataFrame:
     return items.withColumn("amount", item_amount()).groupBy("order_id").agg(_subtotal())
 
 
-def item_pages(enriched: DataFrame, page_items: int = PAGE_ITEMS) -> DataFrame:
-    """(order_id, page, items, subtotal): the items of each order by listing (as text), page by page.
+def item_arrays(enriched: DataFrame) -> DataFrame:
+    """(order_id, items, subtotal): the items of each order by listing (as text).
 
-    The rank goes by the elements that the arrays are sorted by, so the pages one after another are
-    the order's whole array.
-
-    An item's page follows from its rank in the order, so no order is counted beforehand and no
-    page exceeds its bound. Ranking streams over an order's sorted rows and spills; grouping by
-    order and page and the order's subtotal keep the partitioning, so there is one shuffle.
+    One shuffle. A document is one row, so an order's items end in one task, whatever their number.
     """
-    order = Window.partitionBy("order_id")
-    item = _item()
-    fields = [item[f] for f in ("listing_id", "quantity", "extended_price", "product")]
-    rank = F.row_number().over(order.orderBy(*fields))
-    page = F.expr(f"(rank - 1) div {page_items}")
-    pages = (
-        enriched.withColumn("rank", rank)
-        .withColumn("page", page)
-        .groupBy("order_id", "page")
-        .agg(_item_list(), F.sum("amount").alias("amount"))
-    )
-    subtotal = F.sum("amount").over(order).cast("decimal(38,2)")
-    return pages.withColumn("subtotal", subtotal).drop("amount")
+    items = F.sort_array(F.collect_list(_item())).alias("items")
+    return enriched.groupBy("order_id").agg(items, _subtotal())
+
+
+def order_items_array(items: DataFrame, listings: DataFrame) -> DataFrame:
+    """(order_id, items): the item arrays of all orders, sorted by listing."""
+    return item_arrays(enrich_items(items, listings)).drop("subtotal")
 
 
-def order_items_array(
-    items: DataFrame, listings: DataFrame, page_items: int = PAGE_ITEMS
+def item_positions(
+    items: DataFrame, listings: DataFrame, write: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """(order_id, page, items): the item arrays of all orders, sorted by listing."""
-    return item_pages(enrich_items(items, listings), page_items).drop("subtotal")
+    """The elements of the item arrays as rows, each with its position in its order.
+
+    For orders too large to be one row: the items are dealt by ranges of (order, listing), so a
+    huge order is ranked by many tasks, each within its range. ``write`` puts rows into a table.
+    """
+    enriched = write(enrich_items(items, listings))
+    # Rows equal in all elements may change places; the last key lets them spread over ranges.
+    order = ["order_id", *_item_fields(), F.monotonically_increasing_id()]
+    keyed = enriched.select(
+        "order_id",
+        _item().alias("item"),
+        F.struct(*order).alias("_order"),
+    )
+    ranked = running_totals(keyed, ["_order"], {"rank": F.lit(1).cast("bigint")}, write)
+    # An order's items follow one another: its first rank is the number of items before it.
+    counts = ranked.groupBy("order_id").agg(F.min("rank").alias("first"))
+    return ranked.join(counts, "order_id").select(
+        "order_id", (F.col("rank") - F.col("first")).alias("position"), "item"
+    )
 
 
 def order_snapshot(
-    orders: DataFrame,
-    items: DataFrame,
-    listings: DataFrame,
-    history: DataFrame,
-    page_items: int = PAGE_ITEMS,
+    orders: DataFrame, items: DataFrame, listings: DataFrame, history: DataFrame
 ) -> DataFrame:
     """One document per order, whether or not it has items or events.
 
     Items, payment and lifecycle are each reduced by order, so all joins are on the order and
-    reuse the aggregations' partitioning. An order with more than ``page_items`` items has further
-    documents with ``_id`` = ``<order>#<page>``, each with its share of the items and otherwise
-    equal to the first: any lookup finds all pages of the orders it finds.
+    reuse the aggregations' partitioning.
     """
     headers = (
         orders.select("order_id", "customer_id")
@@ -120,11 +121,9 @@ def order_snapshot(
     )
     order_id = F.col("order_id").cast("string")
     subtotal = F.coalesce(F.col("subtotal").cast("double"), F.lit(0.0))
-    pages = item_pages(enrich_items(items, listings), page_items)
-    return headers.join(pages, "order_id", "left").select(
-        F.when(F.col("page") > 0, F.concat_ws("#", order_id, "page"))
-        .otherwise(order_id)
-        .alias("_id"),
+    arrays = item_arrays(enrich_items(items, listings))
+    return headers.join(arrays, "order_id", "left").select(
+        order_id.alias("_id"),
         order_id.alias("order_id"),
         F.struct(F.col("customer_id").cast("string").alias("customer_id")).alias("customer"),
         F.coalesce("items", F.array().cast(ITEM_TYPE)).alias("items"),
@@ -143,17 +142,12 @@ def order_snapshot(
     )
 
 
-def first_pages(documents: DataFrame) -> DataFrame:
-    """One document of each order."""
-    return documents.filter(F.col("_id") == F.col("order_id"))
-
-
 def flatten(documents: DataFrame) -> DataFrame:
-    """Scalar columns of the documents, one row per order; items are counted over all pages."""
-    scalars = documents.select(
-        F.col("order_id").alias("_id"),
+    """Scalar columns of the documents."""
+    return documents.select(
+        "_id",
         F.col("customer.customer_id").alias("customer_id"),
-        F.size("items").alias("page_items"),
+        F.size("items").alias("item_count"),
         F.size("status_timeline").alias("timeline_length"),
         "current_status",
         *MILESTONES,
@@ -163,9 +157,6 @@ def flatten(documents: DataFrame) -> DataFrame:
         F.col("metrics.hours_to_ship").alias("hours_to_ship"),
         F.col("metrics.hours_to_deliver").alias("hours_to_deliver"),
     )
-    keys = [c for c in scalars.columns if c != "page_items"]
-    counted = scalars.groupBy(*keys).agg(F.sum("page_items").cast("int").alias("item_count"))
-    return counted.select(*keys[:2], "item_count", *keys[2:])
 
 
 def documents_of(
@@ -196,7 +187,7 @@ def order_document(
 
 
 def order_lookup(documents: DataFrame, order_id: object) -> DataFrame:
-    """All pages of one order."""
+    """One order's document."""
     return documents.filter(F.col("order_id") == str(order_id))
 
 

@@ -6,6 +6,8 @@ following the DataFrame plans.
 
 from __future__ import annotations
 
+import re
+
 from orderloom.plans.queries import LOOKUP_CUSTOMER, LOOKUP_ORDER
 
 ORACLES: dict[str, str] = {}
@@ -123,16 +125,14 @@ def _oracle(name: str, body: str, *relations: str) -> None:
 
 # --- scans, layout, upserts -------------------------------------------------------------------
 
+_oracle("scan_orders", "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders")
+_oracle("scan_items", "SELECT * FROM items", BASE)
+_oracle(
+    "scan_listings", "SELECT listing_id, product_name, category, seller_id FROM listings", BASE
+)
 _oracle(
-    "scan_projected",
-    """SELECT 'orders' AS table_name, order_id AS key_1, customer_id AS key_2, '' AS label
-       FROM order_heads
-       UNION ALL SELECT 'order_items', order_id, listing_id,
-                        concat_ws('|', quantity, price_at_purchase) FROM items
-       UNION ALL SELECT 'listings', listing_id, NULL,
-                        concat_ws('|', product_name, category, seller_id) FROM listings
-       UNION ALL SELECT 'order_item_status_history', order_id, listing_id,
-                        concat_ws('|', status_timestamp, order_status) FROM history""",
+    "scan_history",
+    "SELECT order_id, listing_id, order_status, status_timestamp, COUNT(*) AS rows FROM history GROUP BY ALL",
     BASE,
 )
 
@@ -177,13 +177,27 @@ _upsert(
               CAST(NULL AS DECIMAL(10,2)) AS price_at_purchase FROM items""",
     "order_id, listing_id",
 )
-_upsert(
+_oracle(
     "upsert_status_history",
-    """SELECT order_id, listing_id, status_timestamp, MAX(order_status) AS order_status
-       FROM history GROUP BY ALL""",
-    """SELECT DISTINCT order_id * 2 AS order_id, listing_id, status_timestamp,
-              'CANCELLED' AS order_status FROM history""",
-    "order_id, listing_id, status_timestamp",
+    """SELECT order_id, listing_id, status_timestamp,
+              COALESCE(MAX(order_status) FILTER (fresh), MAX(order_status)) AS order_status
+       FROM (SELECT order_id, listing_id, status_timestamp, order_status, false AS fresh FROM history
+             UNION ALL SELECT order_id * 2, listing_id, status_timestamp, 'CANCELLED', true FROM history)
+       GROUP BY order_id, listing_id, status_timestamp""",
+    BASE,
+)
+_oracle(
+    "merge_buckets",
+    """SELECT CAST(order_id AS INT) AS order_id, CAST(listing_id AS VARCHAR) AS listing_id,
+              CAST(quantity + (order_id % 499 = 0)::INT AS INT) AS quantity, price_at_purchase FROM items
+       UNION ALL SELECT CAST(order_id AS INT), CAST(-listing_id AS VARCHAR), quantity, price_at_purchase
+       FROM items WHERE order_id % 499 = 0""",
+    BASE,
+)
+_oracle(
+    "changed_orders",
+    """SELECT CAST(o_orderkey AS INT) AS order_id FROM orders WHERE o_orderkey % 499 = 0
+       UNION SELECT CAST(l_orderkey AS INT) FROM lineitem WHERE l_partkey % 701 = 0""",
 )
 
 _oracle(
@@ -397,6 +411,124 @@ clean_orders AS (
         FROM raw_events))"""
 _oracle("clean_orders", "SELECT * FROM clean_orders", BASE, RAW_EVENTS, CLEAN_ORDERS)
 
+
+
+def _problem(column: str, reason: str, unread: str) -> str:
+    return f"CASE WHEN {unread} THEN '{column}:{reason}' END"
+
+
+def _quarantine(name: str, relations: tuple, source: str, columns: list[str], problems: list[str]) -> None:
+    """Cells as text of rows with problems, and the problems; the counts are taken from them."""
+    QUARANTINED[name] = f"""judged_{name} AS (
+      SELECT {', '.join(columns)}, concat_ws(',', {', '.join(problems)}) AS problems FROM ({source}))"""
+    _oracle(
+        f"quarantine_{name}",
+        f"SELECT * FROM judged_{name} WHERE problems <> ''",
+        *relations, QUARANTINED[name],
+    )
+
+
+QUARANTINED: dict[str, str] = {}
+_quarantine(
+    "customers",
+    (*CUSTOMERS_REPAIRED, CUSTOMER_CELLS),
+    "SELECT * FROM cells",
+    ["row_key", *_CUSTOMER],
+    [_problem("join_date", "not_a_date", f"join_date IS NOT NULL AND {_parse_date('join_date')} IS NULL")],
+)
+_LISTING_PRICE = _number("replace(replace(price, '$', ''), ',', '')")
+_quarantine(
+    "listings",
+    (*LISTINGS_REPAIRED, LISTING_CELLS),
+    "SELECT * FROM cells",
+    ["row_key", *_LISTING],
+    [
+        _problem("price", "not_a_number", f"price IS NOT NULL AND {_LISTING_PRICE} IS NULL"),
+        _problem(
+            "stock_quantity",
+            "not_a_whole_number",
+            f"stock_quantity IS NOT NULL AND {_whole('stock_quantity')} IS NULL",
+        ),
+        _problem(
+            "listing_date", "not_a_date", f"listing_date IS NOT NULL AND {_parse_date('listing_date')} IS NULL"
+        ),
+    ],
+)
+_EVENT = [
+    "order_id", "customer_id", "listing_id", "quantity", "price_at_purchase", "event_timestamp",
+    "order_status",
+]
+_EVENT_CELLS = ", ".join(f"{_not_token(f'trim({c})')} AS {c}" for c in _EVENT)
+_quarantine(
+    "orders",
+    (BASE, RAW_EVENTS),
+    f"SELECT {_EVENT_CELLS} FROM raw_events",
+    _EVENT,
+    [
+        _problem("order_status", "not_a_status", f"order_status IS NOT NULL AND {_parse_status('order_status')} = 'UNKNOWN'"),
+        _problem(
+            "event_timestamp",
+            "not_a_time",
+            f"event_timestamp IS NOT NULL AND {_parse_datetime('event_timestamp')} IS NULL",
+        ),
+        _problem(
+            "quantity", "not_a_whole_number", f"quantity IS NOT NULL AND {_whole('quantity')} IS NULL"
+        ),
+        _problem(
+            "price_at_purchase",
+            "not_a_number",
+            f"price_at_purchase IS NOT NULL AND {_number('price_at_purchase')} IS NULL",
+        ),
+    ],
+)
+
+
+def _feed_counts(name: str, reasons: list[str], width: int | None = None) -> str:
+    counted = {"rows": "true", "quarantined": "problems <> ''"}
+    counted |= {r: f"contains(problems, '{r}')" for r in reasons}
+    shown = [
+        f"SELECT '{name}' AS feed, '{what}' AS counted, COUNT(*) FILTER ({test}) AS rows FROM judged_{name}"
+        for what, test in counted.items()
+    ]
+    if width:
+        shown += [
+            f"SELECT '{name}', '{what}', COUNT(*) FILTER (len(string_split(line, ',')) {sign} {width}) FROM {name}_lines"
+            for what, sign in (("merged", ">"), ("padded", "<"))
+        ]
+    return " UNION ALL ".join(shown)
+
+
+def _renamed(relations: tuple, name: str) -> list[str]:
+    """The relations of one text feed under names of their own."""
+    words = {w: f"{name}_{w}" for w in ("lines", "parts", "fixed", "repaired", "cells")}
+    pattern = re.compile(r"\b(" + "|".join(words) + r")\b(?=\s+AS \(|\)|\s*$)|(?<=FROM )(" + "|".join(words) + r")\b")
+    return [pattern.sub(lambda m: words[m[0]], r) for r in relations]
+
+
+_oracle(
+    "cleaning_counts",
+    " UNION ALL ".join(
+        [
+            _feed_counts("customers", ["join_date:not_a_date"], 6),
+            _feed_counts(
+                "listings",
+                ["listing_date:not_a_date", "price:not_a_number", "stock_quantity:not_a_whole_number"],
+                7,
+            ),
+            _feed_counts(
+                "orders",
+                [
+                    "event_timestamp:not_a_time", "order_status:not_a_status",
+                    "price_at_purchase:not_a_number", "quantity:not_a_whole_number",
+                ],
+            ),
+        ]
+    ),
+    *_renamed((*CUSTOMERS_REPAIRED, CUSTOMER_CELLS, QUARANTINED["customers"]), "customers"),
+    *_renamed((*LISTINGS_REPAIRED, LISTING_CELLS, QUARANTINED["listings"]), "listings"),
+    BASE, RAW_EVENTS, QUARANTINED["orders"],
+)
+
 _oracle(
     "scan_event_records",
     """SELECT * REPLACE (CASE WHEN order_id::BIGINT % 5 <> 2 THEN order_status END AS order_status,
@@ -547,6 +679,7 @@ item_rows AS (
          CAST(price_at_purchase AS DOUBLE) AS price_at_purchase
   FROM enriched)"""
 _oracle("order_items_array", "SELECT * FROM item_rows", BASE, ENRICHED, ITEM_ROWS)
+_oracle("order_item_positions", "SELECT * FROM item_rows", BASE, ENRICHED, ITEM_ROWS)
 _oracle(
     "order_snapshot_items",
     "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM item_rows",
@@ -582,9 +715,7 @@ _oracle(
     BASE, ORDERS_FLAT, TIMELINE_ROWS,
 )
 _oracle("order_snapshot_flat", "SELECT * FROM flat", BASE, ORDERS_FLAT)
-_oracle(
-    "order_snapshot",
-    """SELECT flat.* EXCLUDE (item_count, timeline_length), flat._id AS order_id,
+WHOLE_DOCUMENTS = """SELECT flat.* EXCLUDE (item_count, timeline_length), flat._id AS order_id,
               COALESCE(lines.items, '') AS items, COALESCE(steps.timeline, '') AS status_timeline,
               'mysql-snapshot' AS source
        FROM flat
@@ -595,9 +726,25 @@ _oracle(
                   FROM enriched GROUP BY order_id) lines USING (_id)
        LEFT JOIN (SELECT CAST(order_id AS VARCHAR) AS _id,
                          string_agg(concat_ws('|', status, "at"), ';' ORDER BY position) AS timeline
-                  FROM timeline_rows GROUP BY order_id) steps USING (_id)""",
-    BASE, ORDERS_FLAT, TIMELINE_ROWS, ENRICHED,
+                  FROM timeline_rows GROUP BY order_id) steps USING (_id)"""
+_oracle("order_snapshot", WHOLE_DOCUMENTS, BASE, ORDERS_FLAT, TIMELINE_ROWS, ENRICHED)
+
+# The tables as a small load leaves them, with one status for each item and time.
+AFTER_LOAD = (
+    BASE.replace(
+        "p_name AS product_name", "p_name || CASE WHEN p_partkey % 701 = 0 THEN ' II' ELSE '' END AS product_name"
+    )
+    .replace(
+        "order_heads AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id",
+        "order_heads AS (SELECT o_orderkey AS order_id, o_custkey + (o_orderkey % 499 = 0)::INT AS customer_id",
+    )
+    .replace(
+        "SELECT order_id, listing_id, event_timestamp AS status_timestamp, order_status\n  FROM order_events)",
+        """SELECT order_id, listing_id, event_timestamp AS status_timestamp, MAX(order_status) AS order_status
+  FROM order_events GROUP BY order_id, listing_id, event_timestamp)""",
+    )
 )
+_oracle("snapshot_incremental", WHOLE_DOCUMENTS, AFTER_LOAD, ORDERS_FLAT, TIMELINE_ROWS, ENRICHED)
 _oracle("order_lookup", f"SELECT * FROM flat WHERE _id = '{LOOKUP_ORDER}'", BASE, ORDERS_FLAT)
 _oracle(
     "customer_orders",

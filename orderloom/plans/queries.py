@@ -40,29 +40,26 @@ def query(build: Callable[[Marketplace], DataFrame]) -> Callable[[Marketplace],
 
 
 @query
-def scan_projected(m):
-    """The four column-pruned reads behind the documents, stacked; all their columns as text."""
+def scan_orders(m):
+    """The four column-pruned reads behind the documents, one for each table."""
+    return m.orders.select("order_id", "customer_id")
 
-    def rows(name, df, *keys):
-        rest = [F.col(c).cast("string") for c in df.columns if c not in keys]
-        key_2 = F.col(keys[1]) if len(keys) > 1 else F.lit(None)
-        return df.select(
-            F.lit(name).alias("table_name"),
-            F.col(keys[0]).alias("key_1"),
-            key_2.cast("bigint").alias("key_2"),
-            F.concat_ws("|", *rest).alias("label"),
-        )
 
-    item = ["order_id", "listing_id"]
-    listings = m.listings.select("listing_id", "product_name", "category", "seller_id")
-    return audit.union_all(
-        [
-            rows("orders", m.orders, "order_id", "customer_id"),
-            rows("order_items", m.items, *item),
-            rows("listings", listings, "listing_id"),
-            rows("order_item_status_history", m.history, *item),
-        ]
-    )
+@query
+def scan_items(m):
+    return m.items.select("order_id", "listing_id", "quantity", "price_at_purchase")
+
+
+@query
+def scan_listings(m):
+    return m.listings.select("listing_id", "product_name", "category", "seller_id")
+
+
+@query
+def scan_history(m):
+    """The log as rows and how often it repeats them: one line of an order may come twice."""
+    columns = ["order_id", "listing_id", "order_status", "status_timestamp"]
+    return m.history.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _new_folder(m, name: str) -> str:
@@ -107,10 +104,11 @@ def load_tables(m):
     feeds = {
         "customers": m.customers,
         "listings": listings,
-        # File order decides between events of one item and time.
-        "orders": m.events.orderBy("quantity", "price_at_purchase", "order_status").withColumn(
-            "order_status", F.lower("order_status")
-        ),
+        # File order decides between events of one item and time: an order's events lie in one
+        # file, sorted in it.
+        "orders": m.events.repartition("order_id")
+        .sortWithinPartitions("quantity", "price_at_purchase", "order_status")
+        .withColumn("order_status", F.lower("order_status")),
     }
     for name, df in feeds.items():
         delimited.write_csv(df, f"{folder}/raw/{jobs.RAW_FILES[name]}")
@@ -211,6 +209,81 @@ def snapshot_upsert(m):
     return documents.flatten(upsert.snapshot_upsert(stored, fresh))
 
 
+def _published(m, *names: str) -> store.TableStore:
+    """A store with some of the five tables published, as declared."""
+    views = {**_five(m), "order_item_status_history": normalize.normalize_history(m.events)}
+    tables = store.TableStore(m.spark, _new_folder(m, "store"))
+    tables.publish({n: tables.stage_table(schemas.TABLES[n], _declared(views[n], n)) for n in names})
+    return tables
+
+
+def _declared(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(*(F.col(f.name).cast(f.type).alias(f.name) for f in schemas.TABLES[name].fields))
+
+
+def _replace(tables: store.TableStore, batches: dict[str, DataFrame]) -> None:
+    """Merge batches, unique by key, into their buckets and publish."""
+    staged = {}
+    for name, batch in batches.items():
+        table = schemas.TABLES[name]
+        fresh, touched = tables.stage_keys(f"_load/{name}", batch, table.key[0])
+        merged = upsert.replace_rows(tables.read(table, touched), fresh, table.key)
+        staged[name] = tables.stage_table(table, merged, touched)
+    tables.publish(staged)
+
+
+#: A small load: so many orders change hands, and so many listings their name.
+EVERY_ORDER, EVERY_LISTING = 499, 701
+
+
+def _small_load(m) -> dict[str, DataFrame]:
+    orders = m.orders.filter(F.col("order_id") % EVERY_ORDER == 0)
+    listings = m.listings.filter(F.col("listing_id") % EVERY_LISTING == 0)
+    return {
+        "orders": _declared(orders.withColumn("customer_id", F.col("customer_id") + 1), "orders"),
+        "listings": _declared(
+            listings.withColumn("product_name", F.concat("product_name", F.lit(" II"))), "listings"
+        ),
+    }
+
+
+@query
+def merge_buckets(m):
+    """Items of a few orders merged into the published table: only their buckets are read and
+    written."""
+    tables = _published(m, "order_items")
+    few = m.items.filter(F.col("order_id") % EVERY_ORDER == 0)
+    batch = few.withColumn("quantity", F.col("quantity") + 1)
+    moved = few.withColumn("listing_id", -F.col("listing_id"))
+    _replace(tables, {"order_items": _declared(batch.unionByName(moved), "order_items")})
+    return tables.read(schemas.ORDER_ITEMS)
+
+
+def _snapshot_twice(m) -> store.TableStore:
+    """Documents built, a small load, and documents brought up to date."""
+    tables = _published(m, *schemas.TABLES)
+    jobs.snapshot_orders(m.spark, tables.root)
+    tables.refresh()
+    _replace(tables, _small_load(m))
+    return tables
+
+
+@query
+def changed_orders(m):
+    """The orders that a small load touches: by themselves, or through a listing they hold."""
+    tables = _snapshot_twice(m)
+    return jobs.changed_orders(tables, tables.current.built_from)
+
+
+@query
+def snapshot_incremental(m):
+    """All documents after only the changed orders were built again."""
+    tables = _snapshot_twice(m)
+    jobs.snapshot_orders(m.spark, tables.root)
+    tables.refresh()
+    return _written_out(tables.read_documents())
+
+
 @query
 def history_by_status(m):
     """Write the log by status, read one status back from its folder alone."""
@@ -266,6 +339,45 @@ def clean_orders(m):
     return cleaning.sort_events(cleaned).drop(lines.FILE_ORDER)
 
 
+def _set_aside(m, judged: DataFrame) -> DataFrame:
+    """As the job does it: the judged rows are written once, and both outputs read from there."""
+    return cleaning.quarantined(_written(m, "judged", judged)).drop("field_count")
+
+
+@query
+def quarantine_customers(m):
+    """Rows with cells that could not be read, as text, with the reasons."""
+    return _set_aside(m, cleaning.judge(_repaired_customers(m), cleaning.CUSTOMER_RULES))
+
+
+@query
+def quarantine_listings(m):
+    return _set_aside(m, cleaning.judge(_repaired_listings(m), cleaning.LISTING_RULES))
+
+
+@query
+def quarantine_orders(m):
+    return _set_aside(m, cleaning.judge(dirty.raw_events(m), cleaning.EVENT_RULES, quotes=False))
+
+
+@query
+def cleaning_counts(m):
+    """What the pass over each feed counts: rows, repaired lines, rows set aside, cells by reason."""
+    feeds = {
+        "customers": (cleaning.judge(_repaired_customers(m), cleaning.CUSTOMER_RULES), 6),
+        "listings": (cleaning.judge(_repaired_listings(m), cleaning.LISTING_RULES), 7),
+        "orders": (cleaning.judge(dirty.raw_events(m), cleaning.EVENT_RULES, quotes=False), None),
+    }
+    frames = []
+    for name, (judged, width) in feeds.items():
+        counts = cleaning.judgement_counts(judged, width)
+        row = judged.agg(*(count.alias(what) for what, count in counts.items()))
+        frames.append(
+            row.unpivot([], list(counts), "counted", "rows").select(F.lit(name).alias("feed"), "counted", "rows")
+        )
+    return audit.union_all(frames)
+
+
 @query
 def parse_mixed_date(m):
     shown = F.expr(dirty.date_text("o_orderdate", "o_orderkey"))
@@ -411,38 +523,42 @@ def _documents(m):
     return documents.order_snapshot(m.orders, m.items, m.listings, m.history)
 
 
-def _page() -> Column:
-    """A document's page, zero for the first."""
-    return F.coalesce(F.get(F.split("_id", "#"), F.lit(1)).cast("bigint"), F.lit(0))
-
-
 @query
 def order_items_enriched(m):
     return documents.enrich_items(m.items, m.listings).drop("amount")
 
 
-def _unrolled_items(arrays: DataFrame, page: Column) -> DataFrame:
-    """One row per array element, with its position in the order."""
-    elements = arrays.select(
-        "order_id", page.alias("page"), F.posexplode("items").alias("position", "item")
-    )
-    return elements.select(
-        "order_id",
-        (F.col("position") + F.col("page") * documents.PAGE_ITEMS).cast("int").alias("position"),
-        "item.listing_id",
-        "item.quantity",
-        "item.extended_price",
+def _item_columns() -> list[Column]:
+    return [
+        F.col("item.listing_id").alias("listing_id"),
+        F.col("item.quantity").alias("quantity"),
+        F.col("item.extended_price").alias("extended_price"),
         F.col("item.product.name").alias("product_name"),
         F.col("item.product.category").alias("category"),
         F.col("item.product.seller_id").alias("seller_id"),
         F.col("item.product.price_at_purchase").alias("price_at_purchase"),
-    )
+    ]
+
+
+def _unrolled_items(arrays: DataFrame) -> DataFrame:
+    """One row per array element, with its position in the order."""
+    elements = arrays.select("order_id", F.posexplode("items").alias("position", "item"))
+    return elements.select("order_id", "position", *_item_columns())
 
 
 @query
 def order_items_array(m):
     """The item arrays, unrolled again."""
-    return _unrolled_items(documents.order_items_array(m.items, m.listings), F.col("page"))
+    return _unrolled_items(documents.order_items_array(m.items, m.listings))
+
+
+@query
+def order_item_positions(m):
+    """The same rows ranked by ranges of (order, listing), without any array."""
+    ranked = documents.item_positions(
+        m.items, m.listings, lambda df: _written(m, "item_positions", df)
+    )
+    return ranked.select("order_id", F.col("position").cast("int").alias("position"), *_item_columns())
 
 
 @query
@@ -479,10 +595,8 @@ def status_timeline(m):
     return _unrolled_timeline(order_milestones(m), lifecycle.timeline())
 
 
-@query
-def order_snapshot(m):
-    """Whole documents but for the time they were taken, nested parts written out as text; one row
-    per order, with the items of its pages one after another."""
+def _written_out(docs: DataFrame) -> DataFrame:
+    """Documents without the time they were taken, nested parts written out as text."""
     money = "decimal(20,2)"
 
     def item(i: Column) -> Column:
@@ -501,13 +615,11 @@ def order_snapshot(m):
     def step(s: Column) -> Column:
         return F.concat_ws("|", s["status"], s["at"])
 
-    pages = _documents(m).select(
-        F.col("order_id").alias("_id"),
+    return docs.select(
+        "_id",
         "order_id",
         "customer.customer_id",
-        F.struct(
-            _page().alias("page"), F.array_join(F.transform("items", item), ";").alias("items")
-        ).alias("page"),
+        F.array_join(F.transform("items", item), ";").alias("items"),
         F.array_join(F.transform("status_timeline", step), ";").alias("status_timeline"),
         "current_status",
         *lifecycle.MILESTONES,
@@ -518,15 +630,18 @@ def order_snapshot(m):
         "metrics.hours_to_deliver",
         "audit.source",
     )
-    whole = F.array_sort(F.collect_list("page"))["items"]
-    keys = [c for c in pages.columns if c != "page"]
-    return pages.groupBy(*keys).agg(F.array_join(whole, ";").alias("items"))
+
+
+@query
+def order_snapshot(m):
+    """Whole documents."""
+    return _written_out(_documents(m))
 
 
 @query
 def order_snapshot_items(m):
     """The items inside the finished documents."""
-    return _unrolled_items(_documents(m), _page())
+    return _unrolled_items(_documents(m))
 
 
 @query
@@ -570,7 +685,7 @@ def _five(m, history=None):
 
 @query
 def table_counts(m):
-    return audit.table_counts({**_five(m), "documents": documents.first_pages(_documents(m))})
+    return audit.table_counts({**_five(m), "documents": _documents(m)})
 
 
 @query

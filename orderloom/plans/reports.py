@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderloom.operators import audit, documents, lifecycle, revenue
 from orderloom.schemas import DOCUMENTS, LISTINGS, ORDER_ITEMS, STATUS_HISTORY, TABLES
@@ -31,7 +32,9 @@ def counts(store: TableStore) -> DataFrame:
 
 
 def order(store: TableStore, order_id: str) -> DataFrame:
-    return documents.order_lookup(store.read_documents(), order_id)
+    """One document, from its bucket alone."""
+    found = store.spark.range(1).select(store.bucket(F.lit(order_id))).first()[0]
+    return documents.order_lookup(store.read_documents([found]), order_id)
 
 
 def customer(store: TableStore, customer_id: str) -> DataFrame:

@@ -60,8 +60,12 @@ class Marketplace:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order lines with the times of their possible events."""
-        lineitem, orders = self.table("lineitem"), self.table("orders")
+        """Order lines with the times of their possible events.
+
+        Both sides are shuffled by order, as large ones are anyway: the events of a single large
+        file are then made by many tasks, and what is grouped by order needs no other shuffle.
+        """
+        lineitem, orders = self.table("lineitem"), self.table("orders").hint("merge")
         return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),

@@ -1,4 +1,4 @@
-"""Documents against a brute-force builder, paging, and lookups."""
+"""Documents against a brute-force builder, and lookups."""
 
 import datetime as dt
 import random
@@ -109,65 +109,21 @@ def test_document_type(spark):
     assert docs.schema.simpleString() == DOCUMENT.simpleString()
 
 
-def test_crowded_orders_are_paged_without_losing_items(spark):
+def test_crowded_orders_are_one_document(spark):
     shop = random_shop(3, hot_items=300)
-    found = as_dicts(documents.order_snapshot(*frames(spark, shop), page_items=40))
+    docs = documents.order_snapshot(*frames(spark, shop))
     want = expected(shop)
-    pages = [d for d in found.values() if d["order_id"] == "1"]
-    assert len(pages) == 8
-    assert sorted(len(p["items"]) for p in pages) == [20] + [40] * 7
-    gathered = sorted((i for p in pages for i in p["items"]), key=lambda i: i["listing_id"])
-    assert gathered == want["1"]["items"]
-    # Apart from items and id, every page is the order's document.
-    for page in pages:
-        assert dict(page, items=gathered, _id="1") == want["1"]
-    assert {k: v for k, v in found.items() if v["order_id"] != "1"} == {
-        k: v for k, v in want.items() if k != "1"
-    }
-
-
-@pytest.mark.parametrize("page_items", [1, 40, 1_000_000])
-def test_results_do_not_depend_on_the_page_size(spark, page_items):
-    shop = random_shop(6, hot_items=120)
-    orders, items, listings, history = frames(spark, shop)
-    want = expected(shop)
-    docs = documents.order_snapshot(orders, items, listings, history, page_items)
-    flat = {r._id: r for r in documents.flatten(docs).collect()}
-    assert {k: r.item_count for k, r in flat.items()} == {k: len(d["items"]) for k, d in want.items()}
-    assert {k: r.subtotal for k, r in flat.items()} == {
-        k: d["payment"]["subtotal"] for k, d in want.items()
-    }
-    assert documents.first_pages(docs).count() == len(want)
-
-    def by_order(found):
-        gathered = {}
-        for page in as_dicts(found).values():
-            gathered.setdefault(page["order_id"], []).extend(page["items"])
-        return {k: sorted(v, key=lambda i: i["listing_id"]) for k, v in gathered.items()}
-
-    def want_of(test):
-        return {k: d["items"] for k, d in want.items() if test(d)}
-
-    assert by_order(documents.order_lookup(docs, 1)) == want_of(lambda d: d["_id"] == "1")
-    customer = want["1"]["customer"]["customer_id"]
-    assert by_order(documents.customer_orders(docs, customer)) == want_of(
-        lambda d: d["customer"]["customer_id"] == customer
-    )
-    status = want["1"]["current_status"]
-    assert by_order(documents.orders_by_status(docs, status)) == want_of(
-        lambda d: d["current_status"] == status
-    )
-
-
-@pytest.mark.parametrize("page_items", [1, 40, 1_000_000])
-def test_snapshot_counters_go_by_order(spark, page_items):
+    assert as_dicts(docs) == want
+    flat = {r._id: (r.item_count, r.subtotal) for r in documents.flatten(docs).collect()}
+    assert flat == {k: (len(d["items"]), d["payment"]["subtotal"]) for k, d in want.items()}
+
+
+def test_snapshot_counters(spark):
     shop = random_shop(7, hot_items=90)
     orders, items, listings, history = shop
     changed = [(o, n, q + (o == 1 and n == items[0][1]), p) for o, n, q, p in items]
     fresh = ([*orders, (99, "c1")], changed, listings, history)
-    old, new = (
-        documents.order_snapshot(*frames(spark, s), page_items).drop("audit") for s in (shop, fresh)
-    )
+    old, new = (documents.order_snapshot(*frames(spark, s)).drop("audit") for s in (shop, fresh))
     row = upsert.snapshot_metrics(old, new).first()
     assert (row.batch_keys, row.inserted, row.matched, row.modified) == (41, 1, 40, 1)
     vanished = upsert.snapshot_metrics(new, old).first()
@@ -188,7 +144,7 @@ def test_no_job_runs_while_documents_are_planned(spark):
 def test_items_of_missing_orders_make_no_documents(spark):
     orders, items, listings, history = random_shop(4, hot_items=100)
     shop = ([o for o in orders if o[0] != 1], items, listings, history)
-    found = as_dicts(documents.order_snapshot(*frames(spark, shop), page_items=200))
+    found = as_dicts(documents.order_snapshot(*frames(spark, shop)))
     assert found == expected(shop)
 
 
@@ -209,13 +165,9 @@ def test_lookups(spark):
     assert sorted(delivered) == sorted(k for k, d in want.items() if d["current_status"] == "DELIVERED")
 
 
-def test_snapshot_upsert_keeps_vanished_orders_and_drops_stale_pages(spark):
+def test_snapshot_upsert_keeps_vanished_orders(spark):
     schema = "_id string, order_id string, v int"
-    stored = spark.createDataFrame(
-        [("1", "1", 0), ("1#1", "1", 0), ("1#2", "1", 0), ("2", "2", 0)], schema
-    )
-    fresh = spark.createDataFrame([("1", "1", 9), ("1#1", "1", 9), ("3", "3", 9)], schema)
+    stored = spark.createDataFrame([("1", "1", 0), ("2", "2", 0)], schema)
+    fresh = spark.createDataFrame([("1", "1", 9), ("3", "3", 9)], schema)
     merged = upsert.snapshot_upsert(stored, fresh)
-    assert sorted((r._id, r.v) for r in merged.collect()) == [
-        ("1", 9), ("1#1", 9), ("2", 0), ("3", 9),
-    ]
+    assert sorted((r._id, r.v) for r in merged.collect()) == [("1", 9), ("2", 0), ("3", 9)]

