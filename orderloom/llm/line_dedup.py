@@ -5,8 +5,8 @@ if an equal line, or one within one edit, stands earlier (smaller doc_id, or fur
 document). Lines are judged on the input, so a chain of small edits leaves only its first line.
 Lines of fewer than `min_words` words only go if equal; lines without words always stay.
 
-Each line stands under the hash of its words and under the hash of each variant with one word
-deleted, together with that word's position. Under one hash, an undeleted line and a variant are
+Equal lines are those with the same 128-bit hash of their words. Each line stands under the hash of
+its words and under the hash of each variant with one word deleted, together with that word's position. Under one hash, an undeleted line and a variant are
 one insertion apart, and two variants with the same position one substitution. Each line learns
 the earliest such partner, an aggregate of the group and never its pairs. The two lines' words are
 then compared to verify the distance.
@@ -27,21 +27,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.shared import (
     BROADCAST_ROWS,
     WORD_BASE,
+    Sequences,
     blocks,
     fresh,
     frugal,
     handover,
-    hashed_words,
     keyed,
     mix,
-    powers,
-    runs,
+    word_hashes,
 )
 
 MIN_WORDS = 8
@@ -68,21 +68,23 @@ def _described(min_words: int):
             doc, row_key = batch["doc"].to_numpy(), batch["row_key"].to_numpy()
             for i, j in blocks(texts):
                 lines, text, number = _lines(texts[i:j])
-                words, begin = hashed_words(lines)
+                words, _, begin = word_hashes(lines)
                 start, end = begin[:-1], begin[1:]
                 full = end > start
                 start, end, text, number = start[full], end[full], text[full], number[full]
+                sequences = Sequences(words, WORD_BASE)
+                worded = (b" ".join(own) for line in lines if (own := line.split()))
                 size = end - start
                 halves = {}
                 for name, half in (("a", size // 2), ("b", (size - 1) // 2)):
                     tag = half.astype(np.uint64) * np.uint64(2)
-                    head = runs(words, start, start + half, WORD_BASE)
-                    tail = runs(words, end - half, end, WORD_BASE)
+                    head = sequences.runs(start, start + half)
+                    tail = sequences.runs(end - half, end)
                     halves[f"head_{name}"] = mix(head ^ mix(tag)).view(np.int64)
                     halves[f"tail_{name}"] = mix(tail ^ mix(tag + np.uint64(1))).view(np.int64)
                 yield pd.DataFrame(
                     {
-                        "line_key": runs(words, start, end, WORD_BASE).view(np.int64),
+                        "line_key": [xxhash.xxh3_128_digest(line) for line in worded],
                         "doc": doc[i:j][text],
                         "row_key": row_key[i:j][text],
                         "line": number.astype(np.int32),
@@ -108,7 +110,7 @@ def _words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for n in numbers
                 for line in (lines[n],)
             ]
-            words, begin = hashed_words([line for *_, line in rows])
+            words, _, begin = word_hashes([line for *_, line in rows])
             words = words.view(np.int64)
             yield pd.DataFrame(
                 {
@@ -121,15 +123,13 @@ def _words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The line itself (position -1) and each variant with one word deleted."""
-    inverse = np.uint64(pow(WORD_BASE, -1, 1 << 64))
     for batch in batches:
         for words, line_key in zip(batch["words"], batch["line_key"], strict=True):
             words = np.asarray(words, dtype=np.int64).view(np.uint64)
             size = len(words)
-            total = np.zeros(size + 1, dtype=np.uint64)
-            np.cumsum(words * powers(WORD_BASE, size), out=total[1:])
-            less = total[:-1] + (total[-1] - total[1:]) * inverse
-            variant = np.append(mix(less + np.uint64(size - 1)), mix(total[-1:] + np.uint64(size)))
+            sequence = Sequences(words, WORD_BASE)
+            whole = sequence.runs(np.zeros(1, dtype=np.int64), np.array([size]))
+            variant = np.append(sequence.without_one(), whole)
             yield pd.DataFrame(
                 {
                     "variant": variant.view(np.int64),
@@ -215,7 +215,7 @@ def _near(firsts: DataFrame, texts: DataFrame) -> DataFrame:
         hopeful.join(words, ["row_key", "line"]).select("line_key", place, "words"), "line-words"
     )
     variants = lines.select("line_key", "words").mapInPandas(
-        _batched(_variants), "variant long, position int, line_key long"
+        _batched(_variants), "variant long, position int, line_key binary"
     )
     variants = variants.join(lines.select("line_key", "place"), "line_key")
     group, same = Window.partitionBy("variant"), Window.partitionBy("variant", "position")
@@ -253,7 +253,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     halves = ["head_a", "tail_a", "head_b", "tail_b"]
     described = texts.mapInPandas(
         _described(min_words),
-        "line_key long, doc long, row_key long, line int, long boolean, "
+        "line_key binary, doc long, row_key long, line int, long boolean, "
         + ", ".join(f"{h} long" for h in halves),
     )
     firsts = handover(

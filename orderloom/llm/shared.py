@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,3 +201,82 @@ def windows(words: np.ndarray, width: int, base: int = WORD_BASE) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     starts = np.arange(count)
     return runs(words, starts, starts + width, base)
+
+
+# --- hashes that decide what is equal ---------------------------------------------------------
+
+#: Modulus of the sequence hashes below, a prime: over a field, sequences of a few repeated values
+#: do not cancel out as they do modulo a power of two.
+PRIME = (1 << 61) - 1
+_P = np.uint64(PRIME)
+_prime_powers: dict[int, np.ndarray] = {}
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, both below it."""
+    a_high, a_low = a >> np.uint64(31), a & np.uint64((1 << 31) - 1)
+    b_high, b_low = b >> np.uint64(31), b & np.uint64((1 << 31) - 1)
+    middle = a_high * b_low + a_low * b_high
+    # 2**62 is 2, and 2**61 is 1, modulo the prime.
+    high = a_high * b_high * np.uint64(2) + (middle >> np.uint64(30))
+    return _reduced(high + ((middle & np.uint64((1 << 30) - 1)) << np.uint64(31)) + a_low * b_low)
+
+
+def prime_powers(base: int, count: int) -> np.ndarray:
+    """base**0 .. base**(count-1) modulo PRIME."""
+    have = _prime_powers.get(base)
+    if have is None:
+        have = np.ones(1, dtype=np.uint64)
+    while len(have) < count:
+        step = np.uint64(pow(base, len(have), PRIME))
+        have = np.concatenate((have, product(have, step)))
+    _prime_powers[base] = have
+    return have[:count]
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent hashes (the halves of XXH3-128) of all words of the texts one after
+    another, and where each text's words begin (one entry more than texts)."""
+    split = [text.split() for text in texts]
+    digests = b"".join([xxhash.xxh3_128_digest(word) for words in split for word in words])
+    halves = np.frombuffer(digests, dtype="<u8").reshape(-1, 2)
+    begin = np.concatenate(([0], np.cumsum([len(words) for words in split], dtype=np.int64)))
+    return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1]), begin
+
+
+class Sequences:
+    """Hashes of runs of values, equal for equal runs wherever they lie."""
+
+    def __init__(self, values: np.ndarray, base: int):
+        self.base = base % PRIME
+        parts = product(_reduced(values), prime_powers(self.base, len(values)))
+        low = np.cumsum(parts & np.uint64((1 << 32) - 1))
+        high = np.cumsum(parts >> np.uint64(32))
+        total = _reduced(_reduced(low) + product(_reduced(high), np.uint64(1 << 32)))
+        self.total = np.concatenate((np.zeros(1, dtype=np.uint64), total))
+
+    def between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Sums of the runs, moved to the origin; below PRIME."""
+        inverse = prime_powers(pow(self.base, -1, PRIME), len(self.total))
+        return product(_reduced(self.total[ends] + _P - self.total[starts]), inverse[starts])
+
+    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of values[start:end] for each pair."""
+        return mix(self.between(starts, ends) + (ends - starts).astype(np.uint64))
+
+    def windows(self, width: int) -> np.ndarray:
+        """Hash of each run of `width` values; none if there are fewer."""
+        starts = np.arange(max(0, len(self.total) - width))
+        return self.runs(starts, starts + width)
+
+    def without_one(self) -> np.ndarray:
+        """Hash of all values but one, for each of them."""
+        size = len(self.total) - 1
+        before, after = self.total[:-1], _reduced(self.total[-1] + _P - self.total[1:])
+        inverse = np.uint64(pow(self.base, -1, PRIME))
+        return mix(_reduced(before + product(after, inverse)) + np.uint64(size - 1))

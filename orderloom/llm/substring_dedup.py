@@ -23,8 +23,8 @@ built whole:
 3. Equal texts are compared once: only the first of them takes part, the others are repeats as
    far as they have windows.
 
-Suffixes are compared by 64-bit hashes of the prefix and, apart from that, of the whole window:
-two different windows are mistaken for each other only if both agree.
+Windows are compared by two hashes, each over another 64 bits of the words' 128-bit hashes and with
+a base of its own modulo a prime; equal texts by SHA-256.
 
 Defined cases: null text counts as empty; texts of fewer than `width` words lose nothing; null ids
 come after all others; rows with equal ids are ordered by a hash of id and text, and rows equal in
@@ -45,15 +45,16 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.shared import (
     TWIN_BASE,
+    WORD_BASE,
+    Sequences,
     blocks,
     for_python,
     from_python,
     frugal,
     handover,
-    hashed_words,
     keyed,
     mix,
-    windows,
+    word_hashes,
 )
 
 #: Suffixes of one prefix that a task may hold in memory; a longer prefix splits larger groups.
@@ -66,17 +67,17 @@ class Block:
     """The windows of some texts: start, anchor and hash of each, all counted over the block."""
 
     def __init__(self, texts: list[bytes], width: int, prefix: int):
-        words, self.begin = hashed_words(texts)
+        words, self.checks, self.begin = word_hashes(texts)
         count = max(0, len(words) - width + 1)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.begin))
         starts = np.arange(count)
         self.start = starts[starts + width <= self.begin[1:][self.text[:count]]]
-        self.grams = windows(words, prefix)
+        self.sequences = Sequences(words, WORD_BASE)
+        self.grams = self.sequences.windows(prefix)
         self.anchor = self.start
         if len(self.start):
             spans = sliding_window_view(self.grams, width - prefix + 1)
             self.anchor = self.start + spans[self.start].argmin(axis=1)
-        self.words = words
         self.width = width
 
     def key(self, places: np.ndarray) -> np.ndarray:
@@ -91,7 +92,9 @@ class Block:
         return np.isin(self.key(self.anchor), mix(flat ^ mix(owner)))
 
     def hashes(self) -> np.ndarray:
-        return windows(self.words, self.width, TWIN_BASE)[self.start]
+        """Two hashes of each window."""
+        other = Sequences(self.checks, TWIN_BASE).windows(self.width)
+        return np.column_stack([self.sequences.windows(self.width)[self.start], other[self.start]])
 
 
 def _anchors(width: int, prefix: int):
@@ -131,9 +134,9 @@ def _suffixes(width: int, prefix: int):
         # Of equal windows in this block only the earliest is still open; same place, same window.
         _, rank = np.unique(np.rec.fromarrays([order, row_key]), return_inverse=True)
         rank = rank.reshape(-1)[text]
-        by = np.lexsort((local, rank, digest))
+        by = np.lexsort((local, rank, digest[:, 1], digest[:, 0]))
         new = np.ones(len(by), dtype=bool)
-        new[1:] = digest[by][1:] != digest[by][:-1]
+        new[1:] = (digest[by][1:] != digest[by][:-1]).any(axis=1)
         leader = np.empty(len(by), dtype=np.int64)
         leader[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
         open_ = leader == np.arange(len(by))
@@ -147,8 +150,8 @@ def _suffixes(width: int, prefix: int):
         open_bits = np.bincount(row, bit * open_, len(first)).astype(np.int32)
         gone_bits = np.bincount(row, bit * gone, len(first)).astype(np.int32)
         prefix_key = block.grams[anchor[first]]
-        key = np.where(alone[first], mix(prefix_key ^ digest[first]), prefix_key).view(np.int64)
-        ends = np.cumsum(np.bincount(row, open_, len(first)).astype(np.int64)) * 8
+        key = np.where(alone[first], mix(prefix_key ^ digest[first, 0]), prefix_key).view(np.int64)
+        ends = np.cumsum(np.bincount(row, open_, len(first)).astype(np.int64)) * 16
         packed = digest[open_].tobytes()
         own = row_key[text[first]]
         return pd.DataFrame(
@@ -188,22 +191,23 @@ def _judged(depth: int):
             gone = batch["gone"].to_numpy().astype(np.int64)
             bits = (batch["open"].to_numpy()[:, None] >> np.arange(depth)) & 1
             row, bit = np.nonzero(bits)
-            digest = np.frombuffer(b"".join(batch["hashes"]), dtype=np.uint64)
+            digest = np.frombuffer(b"".join(batch["hashes"]), dtype=np.uint64).reshape(-1, 2)
             start = at[row] + bit
-            by = np.lexsort((np.arange(len(row)), digest, key[row]))
+            by = np.lexsort((np.arange(len(row)), digest[:, 1], digest[:, 0], key[row]))
             new = np.ones(len(by), dtype=bool)
-            new[1:] = (digest[by][1:] != digest[by][:-1]) | (key[row][by][1:] != key[row][by][:-1])
+            new[1:] = (digest[by][1:] != digest[by][:-1]).any(axis=1)
+            new[1:] |= key[row][by][1:] != key[row][by][:-1]
             leader = np.empty(len(by), dtype=np.int64)
             leader[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
             repeat = (own[row] != own[row][leader]) | (start != start[leader])
             for i in np.flatnonzero(key[row] == last_key) if last_key is not None else ():
-                if (first := seen.get(int(digest[i]))) is not None:
+                if (first := seen.get(digest[i].tobytes())) is not None:
                     repeat[i] = first != (own[row[i]], start[i])
             if len(key):
                 if key[-1] != last_key:
                     last_key, seen = key[-1], {}
                 for i in np.flatnonzero(key[row] == last_key):
-                    seen.setdefault(int(digest[i]), (own[row[i]], start[i]))
+                    seen.setdefault(digest[i].tobytes(), (own[row[i]], start[i]))
             gone |= np.bincount(row, np.left_shift(1, bit) * repeat, len(key)).astype(np.int64)
             hit = gone != 0
             yield pd.DataFrame({"row_key": own[hit], "cut": at[hit] << 16 | gone[hit]})
@@ -271,7 +275,7 @@ def remove_repeats(docs: DataFrame, width: int = 20, prefix: int = 6) -> DataFra
         )
     )
     first = (
-        base.groupBy(digest.alias("digest"), F.xxhash64(F.lit(1), "text"))
+        base.groupBy(digest.alias("digest"), F.sha2("text", 256))
         .agg(F.min(F.struct(place, "row_key")).alias("f"))
         .select("digest", "f.row_key")
     )
