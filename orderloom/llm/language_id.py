@@ -241,11 +241,16 @@ class Scorer:
         return names, np.where(lettered, score, 0.0)
 
 
+_GAP = re.compile(r"[\W\d_]")
+
+
 def _parts(text: str) -> Iterator[str]:
-    at = 0
+    """A text in lower case, cut between its words into parts of about BLOCK_CHARS; a longer word
+    stays whole."""
+    text, at = text.lower(), 0
     while len(text) - at > BLOCK_CHARS:
-        end = max(text.rfind(" ", at, at + BLOCK_CHARS), text.rfind("\n", at, at + BLOCK_CHARS))
-        end = end if end > at else at + BLOCK_CHARS
+        gap = _GAP.search(text, at + BLOCK_CHARS)
+        end = gap.start() if gap else len(text)
         yield text[at:end]
         at = end
     yield text[at:]
