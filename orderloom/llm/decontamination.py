@@ -24,8 +24,9 @@ shingles, or stand at an end of the document; so results do not depend on the bl
 
 Defined cases: null text counts as empty; items without words match nothing; an item of fewer words
 than a shingle is one shingle of all its words; a document shorter than the item is one window, and
-without a shingle quotes nothing; items may repeat; rows equal in id and text share a result; no documents or no
-items give no leaks; other columns are kept by `drop_contaminated` and not read otherwise.
+without a shingle quotes nothing; items may repeat; an item without an id is
+found like any other, but not listed; rows equal in id and text share a result; no documents or no items
+give no leaks; other columns are kept by `drop_contaminated` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -39,14 +40,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.shared import (
+    NULL_ID,
     blocks,
+    for_python,
     frugal,
     handover,
-    hashed_words,
     keyed,
     text_of,
     windows,
     without,
+    word_hashes,
 )
 
 SHINGLE = 5
@@ -126,7 +129,7 @@ class ItemIndex:
         shingle: int = SHINGLE,
         shared: tuple[np.ndarray, np.ndarray] | None = None,
     ):
-        words, begin = hashed_words([text.lower() for _, text in items])
+        words, _, begin = word_hashes([text.lower() for _, text in items])
         self.ids, self.size, self.width, bags = [], [], [], []
         for i, (item_id, _) in enumerate(items):
             own = words[begin[i] : begin[i + 1]]
@@ -201,7 +204,7 @@ class ItemIndex:
         """(text, item, start, similarity): the best window of each text for each item it quotes."""
         if not self.ids:
             return
-        words, begin = hashed_words([t.lower() for t in texts])
+        words, _, begin = word_hashes([t.lower() for t in texts])
         text_of_word = np.repeat(np.arange(len(texts)), np.diff(begin))
         # (text, item): weighted or not, similarity, start; the weighted one goes first.
         best: dict[tuple[int, int], tuple[bool, float, int]] = {}
@@ -269,7 +272,7 @@ def _shared(items: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             texts = [t.lower() for t in batch["text"]]
             for i, j in blocks(texts):
-                words, begin = hashed_words(texts[i:j])
+                words, _, begin = word_hashes(texts[i:j])
                 bags = [
                     np.unique(windows(words[a:b], min(shingle, b - a)))
                     for a, b in zip(begin[:-1], begin[1:], strict=True)
@@ -290,9 +293,9 @@ def leaks(
 ) -> DataFrame:
     """(row_key, item_id, start, similarity): each item a document quotes, at its best window."""
     items = benchmark.select(
-        benchmark["item_id"].cast("long").alias("item_id"),
+        for_python(benchmark["item_id"]).alias("item_id"),
         text_of(benchmark).cast("binary").alias("text"),
-    ).where("item_id IS NOT NULL")
+    )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + size // BLOCK_BYTES
     texts = keyed(docs).select("row_key", F.col("text").cast("binary").alias("text"))
@@ -316,7 +319,7 @@ def leaks(
 
         more = texts.mapInPandas(run, schema)
         found = more if found is None else found.union(more)
-    return found
+    return found.withColumn("item_id", F.nullif(F.col("item_id"), F.lit(NULL_ID)))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
