@@ -1,9 +1,11 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderloom.llm import (
@@ -170,6 +172,17 @@ def test_language_of_a_text_of_many_blocks(monkeypatch):
     assert lettered.all() and (sum(parts) == whole).all()
 
 
+@pytest.mark.parametrize("gap", ["", "\t", "\u3000", "。", "1", "_"])
+def test_language_of_a_long_text_without_blanks(monkeypatch, gap):
+    """Words are not cut, whatever stands between them; a text of one word stays one part."""
+    monkeypatch.setattr(language_id, "BLOCK_CHARS", 64)
+    text = gap.join(["ΑΣ'Α", "中文字", "İab", "ba"] * 60)
+    parts = list(language_id._parts(text))
+    assert "".join(parts) == text.lower() and (len(parts) > 3 or not gap)
+    whole, split = language_id._grams(text), sum((language_id._grams(p) for p in parts), Counter())
+    assert whole == split
+
+
 def test_language_of_many_scripts(make_docs):
     """More than 254 letters and 500 languages; each language has letters of its own."""
     words = {f"l{i:03}": "".join(chr(0x4E00 + 3 * i + k) for k in range(3)) for i in range(620)}
@@ -226,3 +239,41 @@ def test_pipeline_stages(make_docs, spark, tmp_path, benchmark, labels):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def thue_morse(length):
+    return [bin(i).count("1") % 2 for i in range(length)]
+
+
+def test_lines_that_cancel_out_modulo_a_power_of_two(make_docs):
+    """Two words in Thue-Morse order, and the same with the words exchanged, are different lines."""
+    order = thue_morse(512)
+    rows = [(1, " ".join("ab"[b] for b in order)), (2, " ".join("ba"[b] for b in order))]
+    rows += [(3, rows[1][1] + " c"), (4, rows[0][1].replace("a", "b", 1))]
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(make_docs(rows)).collect()}
+    assert found == line_dedup.brute_force(rows)
+    assert found[2] == rows[1][1] and found[4] == ""
+
+
+def test_words_that_cancel_out_modulo_a_power_of_two(make_docs):
+    order = thue_morse(1024)
+    rest = " ".join(f"w{i}" for i in range(19))
+    first = ["".join(pair[b] for b in order) for pair in ("ab", "ba")]
+    rows = [(i, f"{word} {rest}") for i, word in enumerate([*first, first[0]])]
+    found = substring_dedup.remove_repeats(make_docs(rows)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in found} == {0: (20, 0), 1: (20, 0), 2: (20, 20)}
+    rows = [(1, " ".join("ab"[b] for b in order)), (2, " ".join("ba"[b] for b in order))]
+    found = substring_dedup.remove_repeats(make_docs(rows)).collect()
+    want = substring_dedup.brute_force(rows)
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in found} == {i: w[:2] for i, w in want.items()}
+
+
+def test_items_without_an_id_are_found(make_docs, spark):
+    items = spark.createDataFrame([(None, "one two three four five six seven"), (3, "a b c d e f g")], "item_id long, text string")
+    items = items.withColumns({"row_key": F.lit("x"), "start": F.lit("x"), "doc_id": F.lit("x")})
+    rows = [(1, "zero one two three four five six seven eight"), (2, "a b c d e f g"), (3, "nothing at all")]
+    found = {r.doc_id: r for r in decontamination.contamination(make_docs(rows), items).collect()}
+    assert {i: (r.contaminated, list(r["items"])) for i, r in found.items()} == {
+        1: (True, []), 2: (True, [3]), 3: (False, []),
+    }
+    assert [r.doc_id for r in decontamination.drop_contaminated(make_docs(rows), items).collect()] == [3]
