@@ -36,10 +36,12 @@ def parser() -> argparse.ArgumentParser:
     snapshot = commands.add_parser("snapshot", help="one document per published order")
     snapshot.add_argument("root")
     snapshot.add_argument("--full", action="store_true", help="build unchanged orders again, too")
+    layout = commands.add_parser("layout", help="second layouts: the log by month, listings by category")
+    layout.add_argument("root")
     report = commands.add_parser("report", help="a question about published data")
     report.add_argument("root")
     report.add_argument("name", choices=tuple(reports.REPORTS))
-    report.add_argument("argument", nargs="*", help="top X, an order, customer, status, or SQL")
+    report.add_argument("argument", nargs="*", help="top X, a stretch of time, category, order, customer, status, or SQL")
     report.add_argument("--out", help="write JSON lines here instead of showing the first rows")
     return root
 
@@ -62,6 +64,8 @@ def main(argv: list[str] | None = None) -> None:
         print("deleted:", jobs.delete_rows(spark, args.root, args.table, keys))
     elif args.command == "snapshot":
         print(jobs.snapshot_orders(spark, args.root, args.full))
+    elif args.command == "layout":
+        print("laid out version", jobs.lay_out(spark, args.root))
     else:
         result = reports.REPORTS[args.name](TableStore(spark, args.root), *args.argument)
         if args.out:

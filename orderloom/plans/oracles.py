@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from orderloom.plans.queries import LOOKUP_CUSTOMER, LOOKUP_ORDER
+from orderloom.plans.queries import LOOKUP_CUSTOMER, LOOKUP_ORDER, SPAN
 
 ORACLES: dict[str, str] = {}
 
@@ -194,6 +194,12 @@ _oracle(
        FROM items WHERE order_id % 499 = 0""",
     BASE,
 )
+_oracle(
+    "history_by_month",
+    f"SELECT * FROM history WHERE status_timestamp >= '{SPAN[0]}' AND status_timestamp < '{SPAN[1]}'",
+    BASE,
+)
+_oracle("listings_by_category", "SELECT * FROM listings WHERE seller_id = 'Brand#13'", BASE)
 _oracle(
     "changed_orders",
     """SELECT CAST(o_orderkey AS INT) AS order_id FROM orders WHERE o_orderkey % 499 = 0
@@ -660,6 +666,16 @@ _oracle(
     BASE, MONTHLY,
 )
 
+_oracle(
+    "mom_growth_of_a_span",
+    ORACLES["mom_growth"][ORACLES["mom_growth"].rindex("SELECT *, round(") :],
+    BASE,
+    MONTHLY.replace(
+        "order_status = 'DELIVERED'",
+        f"order_status = 'DELIVERED' AND event_timestamp >= '{SPAN[0]}' AND event_timestamp < '{SPAN[1]}'",
+    ),
+)
+
 # --- documents --------------------------------------------------------------------------------
 
 ENRICHED = """

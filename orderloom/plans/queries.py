@@ -17,7 +17,7 @@ from orderloom.functions import numeric, status, temporal, text
 from orderloom.operators import audit, cleaning, documents, lifecycle, normalize, revenue, upsert
 from orderloom.plans import jobs
 from orderloom.session import shared_folder
-from orderloom.sources import delimited, dirty, lines, store
+from orderloom.sources import delimited, dirty, layouts, lines, store
 from orderloom.sources.marketplace import Marketplace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,6 +292,39 @@ def history_by_status(m):
     return m.spark.read.parquet(path).filter("order_status = 'DELIVERED'")
 
 
+#: The stretch of time asked for.
+SPAN = ("1995-03-10", "1995-07-01")
+
+
+def _log_by_month(m) -> str:
+    path = _new_folder(m, "log_by_month")
+    layouts.write_log_by_month(m.history, path)
+    return path
+
+
+@query
+def history_by_month(m):
+    """Write the log by status and month, read a stretch of time from its folders alone."""
+    return layouts.read_log(m.spark, _log_by_month(m), *SPAN)
+
+
+@query
+def mom_growth_of_a_span(m):
+    """Growth over the deliveries of a stretch of time."""
+    log = layouts.read_log(m.spark, _log_by_month(m), *SPAN)
+    return revenue.mom_growth(m.items, log).withColumn(
+        "mom_growth_ratio", F.col("mom_growth_ratio").cast("double")
+    )
+
+
+@query
+def listings_by_category(m):
+    """Write the catalogue by category and seller, read one seller's listings of one kind."""
+    path = _new_folder(m, "catalogue")
+    layouts.write_catalogue(m.listings, path)
+    return layouts.read_catalogue(m.spark, path, seller_id="Brand#13")
+
+
 # --- text repair and parsing ------------------------------------------------------------------
 
 

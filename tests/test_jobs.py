@@ -241,10 +241,10 @@ def test_unreadable_cells_are_set_aside_with_reasons(spark, raw, tmp_path):
     assert {k: n for k, n in report["customers"].items() if n} == {
         "rows": 5, "quarantined": 1, "merged": 1, "padded": 1, "join_date:not_a_date": 1,
     }
+    # The comma in a price shifts the cells behind it: 234.00 reads as the stock, and the date is lost.
     assert {k: n for k, n in report["listings"].items() if n} == {
-        "rows": 3, "quarantined": 1, "merged": 2, "stock_quantity:not_a_whole_number": 1,
-        "listing_date:not_a_date": 1,
-    } or report["listings"]["quarantined"] == 1
+        "rows": 3, "quarantined": 1, "merged": 2, "listing_date:not_a_date": 1,
+    }
     assert report["orders"]["quarantined"] == 1 and report["orders"]["rows"] == 7
 
     def written(name):
@@ -349,3 +349,56 @@ def test_counts_come_with_the_writing(spark, raw, tmp_path):
     finally:
         frame.count = count
     assert counted == []
+
+
+def test_reports_over_a_span_read_their_months_only(spark, loaded):
+    store = TableStore(spark, loaded)
+
+    def run(name, *arguments):
+        return [tuple(r) for r in reports.REPORTS[name](store, *arguments).collect()]
+
+    asked = [
+        ("mom-growth", "2024-01-01", "2024-02-01"), ("mom-growth", "2024-01-03"), ("mom-growth", "2024-02-01"),
+        ("category", "TECH"), ("category", "HOME", "S2"), ("category", "HOME", "S1"),
+    ]
+    before = [run(*a) for a in asked]
+    assert before[0] == [("2024-01-01", Decimal("72.00"), None, None)] and before[2] == []
+    assert [len(r) for r in before[3:]] == [1, 1, 0]
+    main(["layout", loaded])
+    assert [run(*a) for a in asked] == before
+    plan = reports.mom_growth(store, "2024-01-03", "2024-03-01")._jdf.queryExecution().executedPlan().toString()
+    folders = next(p.split("]")[0] for p in plan.split("PartitionFilters: [") if "status_month" in p.split("]")[0])
+    assert ">= 2024-01" in folders  # the rest is cut off in the plan's text
+    # A newer version is not answered from the older one's layouts.
+    jobs.delete_rows(spark, loaded, "orders", spark.createDataFrame([(1,)], "order_id int"))
+    store.refresh()
+    assert run(*asked[0]) == []
+
+
+def test_layouts_skip_folders_and_row_groups(spark, tmp_path):
+    from orderloom.sources import layouts
+
+    days = spark.range(0, 4000, 1, 4).selectExpr(
+        "id AS order_id", "concat('L', id) AS listing_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 300 AS int)) AS status_timestamp",
+        "if(id % 3 = 0, 'SHIPPED', 'DELIVERED') AS order_status",
+    )
+    layouts.write_log_by_month(days, str(tmp_path / "log"))
+    march = layouts.read_log(spark, str(tmp_path / "log"), "2024-03-01", "2024-04-01")
+    assert march.count() == days.filter("month(status_timestamp) = 3").count() > 0
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "status_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+    catalogue = spark.range(0, 100_000, 1, 4).selectExpr(
+        "concat('L', id) AS listing_id", "'n' AS product_name", "concat('c', lpad(id % 50, 2, '0')) AS category",
+        "concat('s', id % 7) AS seller_id", "cast(1 AS decimal(10,2)) AS price", "1 AS stock_quantity",
+        "date'2024-01-01' AS listing_date",
+    )
+    layouts.write_catalogue(catalogue, str(tmp_path / "cat"))
+    found = layouts.read_catalogue(spark, str(tmp_path / "cat"), "c07", "s3")
+    want = catalogue.filter("category = 'c07' AND seller_id = 's3'").count()
+    assert len(found.collect()) == want > 0
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert 0 < scan.metrics().apply("numOutputRows").value() < 60_000
+
+

@@ -11,6 +11,7 @@ SMALL_PARTITIONS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10KB",
     "spark.sql.shuffle.partitions": "16",
 }
 
@@ -111,3 +112,33 @@ def test_collated_keys_match_without_case_or_accents(spark):
     assert sorted((r.k.lower(), r.v) for r in merged.collect()) == [
         ("c001", 2), ("cafe", 3), ("x", 1),
     ]
+
+
+def test_a_giant_order_is_ranked_by_many_tasks(spark, small_partitions, catalogue, tmp_path):
+    """Three quarters of all items are one order's; no task ranks more than its range of them."""
+    items = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(F.lit(-1)).alias("order_id"),
+        F.concat(F.lit("L"), F.lpad((F.col("id") * 7919 % 20_000).cast("string"), 6, "0")).alias("listing_id"),
+        F.lit(2).alias("quantity"),
+        F.lit(1.5).cast("decimal(10,2)").alias("price_at_purchase"),
+    )
+    listings = catalogue.withColumn("listing_id", F.concat(F.lit("L"), "listing_id"))
+    written = []
+
+    def write(df):
+        path = str(tmp_path / f"w{len(written)}")
+        df.write.parquet(path)
+        written.append(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    ranked = documents.item_positions(items, listings, write)
+    found = {(r.order_id, r.item.listing_id): r.position for r in ranked.collect()}
+    ranges = spark.read.parquet(written[-1]).groupBy("_range").count().collect()
+    assert len(ranges) >= 8 and max(r["count"] for r in ranges) < 20_000 / 4
+    orders = {}
+    for order_id, listing_id in found:
+        orders.setdefault(order_id, []).append(listing_id)
+    assert len(orders[-1]) == 15_000
+    assert found == {(o, n): i for o, names in orders.items() for i, n in enumerate(sorted(names))}
+    whole = documents.item_arrays(documents.enrich_items(items, listings)).filter("order_id = -1").first()
+    assert [i.listing_id for i in whole["items"]] == sorted(orders[-1])
