@@ -61,9 +61,10 @@ for _number, _members in enumerate(CLASSES, start=1):
 def measures(texts: list[bytes]) -> np.ndarray:
     """A row of numbers for each text."""
     count = len(texts)
-    data, starts, ends = word_bounds(b"\n".join(texts))
+    # A line feed ends each text, the last one, too: no text's numbers depend on its neighbours.
+    data, starts, ends = word_bounds(b"\n".join([*texts, b""]))
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    owner = np.repeat(np.arange(count), sizes + 1)[: len(data)]
+    owner = np.repeat(np.arange(count), sizes + 1)
     kinds = len(CLASSES) + 1
     shares = np.bincount(owner * kinds + _class[data], minlength=count * kinds)
     shares = shares.reshape(count, kinds)[:, 1:] / np.maximum(1, sizes)[:, None]
@@ -79,7 +80,9 @@ def measures(texts: list[bytes]) -> np.ndarray:
     def repeated(values: np.ndarray, of: np.ndarray) -> np.ndarray:
         """The share of a text's values that it has seen before."""
         held = np.bincount(of, minlength=count)
-        distinct = np.unique(mix(values ^ mix(of.astype(np.uint64))), return_index=True)[1]
+        # Far from the small numbers that short words hash from: keys of two texts stay apart.
+        salt = mix(of.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        distinct = np.unique(mix(values ^ salt), return_index=True)[1]
         return 1 - np.bincount(of[distinct], minlength=count) / np.maximum(1, held)
 
     width = 4
