@@ -7,9 +7,10 @@
    squares says how often to repeat each so that together they use up the histogram; the repeat
    counts are rounded down, and what is left is packed best fit, longest first, a length at a
    time.
-3. The plan is a table of (length, first rank, first sequence, offset) blocks. Pieces are ranked
-   within their length by a salted numbering, and each looks up its block. Its size depends on
-   `capacity`, not on the number of documents.
+3. The plan is a table of (length, first rank, first sequence, offset) blocks; its size depends on
+   `capacity`, not on the number of documents. The task that cuts texts numbers its pieces of each
+   length; what the tasks before it hold of that length makes it the piece's rank, and the rank
+   tells its place. So pieces are written once and placed where they are read.
 
 Defined cases: null text counts as empty and is the end id alone; repeated rows are rows of their
 own; null ids are kept; texts of any length are cut into pieces; no rows give no rows; other
@@ -22,24 +23,31 @@ import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.shared import for_python, from_python, frugal, handover, text_of
+from orderloom.llm.shared import (
+    BROADCAST_ROWS,
+    for_python,
+    from_python,
+    frugal,
+    handover,
+    text_of,
+)
 
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 
-#: Words remembered within a task; at most about 100 MB.
-MAX_WORDS = 400_000
-#: Pieces numbered by one task at a time, so that no length is numbered in one place.
-BUCKET_PIECES = 50_000
+#: Words remembered within a task, at most about 100 MB, and from one task to the next.
+MAX_WORDS, KEPT_WORDS = 400_000, 150_000
 #: Tokens a pattern may leave unused.
 SLACK = 4
 #: Lengths, the most frequent ones, that patterns of three and four are made of.
@@ -95,9 +103,14 @@ class WordTokenizer:
             known[word] = self._ids(word)
         ids = b"".join([known[w] for w in words])
         if len(known) > MAX_WORDS:
-            known.clear()
+            self.forget()
         return ids
 
+    def forget(self) -> None:
+        """Keep the words that came first, which are the common ones."""
+        if len(self.words) > KEPT_WORDS:
+            self.words = dict(islice(self.words.items(), KEPT_WORDS))
+
 
 @cache
 def _tokenizer(path: str) -> WordTokenizer:
@@ -105,13 +118,15 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 
 def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids); ids are little-endian unsigned 32-bit numbers."""
+    """Pieces (doc_id, piece, start, length, ids, part, number); ids are little-endian unsigned
+    32-bit numbers, and number counts the pieces of a length within the task, part."""
     path = path or public_tokenizers.path(VOCABULARY)
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     @frugal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(path)
+        part, numbers = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -121,12 +136,17 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
                     (doc_id, i, at, min(capacity, count - at), ids[4 * at : 4 * (at + capacity)])
                     for i, at in enumerate(range(0, count, capacity))
                 ]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
-        tokenizer.words.clear()
+            pieces = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
+            lengths = pieces["length"].to_numpy(dtype=np.int64)
+            pieces["part"] = part
+            pieces["number"] = numbers[lengths] + pieces.groupby("length").cumcount().to_numpy()
+            numbers += np.bincount(lengths, minlength=capacity + 1)
+            yield pieces
+        tokenizer.forget()
 
     texts = docs.select(for_python(docs["doc_id"]), text_of(docs).cast("binary").alias("text"))
     pieces = texts.mapInPandas(
-        run, "doc_id long, piece int, start long, length long, ids binary"
+        run, "doc_id long, piece int, start long, length long, ids binary, part int, number long"
     )
     return pieces.withColumn("doc_id", from_python("doc_id"))
 
@@ -273,44 +293,33 @@ class Plan:
         return self.first_sequence[block] + rank - self.first_rank[block], self.offset[block]
 
 
-def _ranked(pieces: DataFrame, total: int) -> DataFrame:
-    """Number the pieces of each length from 0, bucket by bucket; needs the column serial."""
-    buckets = max(1, -(-total // BUCKET_PIECES))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("serial"), F.lit(buckets)))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        dealt.groupBy("length", "bucket")
-        .agg(F.count(F.lit(1)).alias("held"))
-        .select("length", "bucket", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
-    )
-    within = Window.partitionBy("length", "bucket").orderBy("serial")
-    return (
-        dealt.withColumn("rank", F.row_number().over(within) - 1)
-        .join(bases, ["length", "bucket"])
-        .withColumn("rank", F.col("rank") + F.col("base"))
-        .drop("bucket", "base")
-    )
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to pieces; the column length must be 1 to capacity."""
-    numbered = handover(pieces.withColumn("serial", F.monotonically_increasing_id()), "pieces")
+    """Add sequence_id and offset to numbered pieces; the column length must be 1 to capacity.
+
+    Numbers are those of `tokenized`: from 0 in each part and length, without gaps. They are written
+    with the pieces, so a task that runs again reads them as they were.
+    """
+    written = handover(pieces, "pieces")
+    counts = handover(written.groupBy("length", "part").agg(F.count(F.lit(1)).alias("held")), "counts")
     histogram = {
-        r["length"]: r["count"]
-        for r in numbered.groupBy("length").count().collect()  # at most `capacity` rows
+        r["length"]: r["held"]
+        for r in counts.groupBy("length").agg(F.sum("held").alias("held")).collect()  # `capacity` rows
     }
     plan = Plan(histogram, capacity)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sequence, offset = plan.place(batch["length"].to_numpy(), batch["rank"].to_numpy())
-            yield pd.DataFrame(
-                {"serial": batch["serial"], "sequence_id": sequence, "offset": offset}
-            )
-
-    ranked = _ranked(numbered.select("serial", "length"), sum(histogram.values()))
-    placed = ranked.mapInPandas(run, "serial long, sequence_id long, offset long")
-    return numbered.join(placed, "serial").drop("serial")
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("length", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
+    if counts.count() <= BROADCAST_ROWS:
+        bases = F.broadcast(bases)
+
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        sequence, offset = plan.place(length.to_numpy(), rank.to_numpy())
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    kept = [c for c in written.columns if c not in ("part", "number")]
+    ranked = written.join(bases, ["length", "part"]).withColumn("number", F.col("number") + F.col("base"))
+    placed = ranked.select(*kept, place("length", "number").alias("place"))
+    return placed.select(*kept, "place.sequence_id", "place.offset")
 
 
 def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
