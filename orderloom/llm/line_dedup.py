@@ -40,7 +40,6 @@ from orderloom.llm.shared import (
     frugal,
     handover,
     keyed,
-    mix,
     word_hashes,
 )
 
@@ -58,6 +57,18 @@ def _lines(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [line for s in split for line in s], text, number
 
 
+def _halves(words: list[bytes]) -> tuple[int, ...]:
+    """Hashes of the first and the last half, of either size that a partner may share; what kind
+    of half it is, and of how many words, is the seed."""
+    size, found = len(words), []
+    for half in (size // 2, (size - 1) // 2):
+        if found and 2 * half + 1 == size:  # of an odd number of words both sizes are the same
+            return (*found, *found)
+        found.append(xxhash.xxh3_64_intdigest(b" ".join(words[:half]), 2 * half))
+        found.append(xxhash.xxh3_64_intdigest(b" ".join(words[size - half :]), 2 * half + 1))
+    return tuple(found)
+
+
 def _described(min_words: int):
     """Per line with words: its hash, and the hashes of the halves a partner may share."""
 
@@ -68,28 +79,25 @@ def _described(min_words: int):
             doc, row_key = batch["doc"].to_numpy(), batch["row_key"].to_numpy()
             for i, j in blocks(texts):
                 lines, text, number = _lines(texts[i:j])
-                words, _, begin = word_hashes(lines)
-                start, end = begin[:-1], begin[1:]
-                full = end > start
-                start, end, text, number = start[full], end[full], text[full], number[full]
-                sequences = Sequences(words, WORD_BASE)
-                worded = (b" ".join(own) for line in lines if (own := line.split()))
-                size = end - start
-                halves = {}
-                for name, half in (("a", size // 2), ("b", (size - 1) // 2)):
-                    tag = half.astype(np.uint64) * np.uint64(2)
-                    head = sequences.runs(start, start + half)
-                    tail = sequences.runs(end - half, end)
-                    halves[f"head_{name}"] = mix(head ^ mix(tag)).view(np.int64)
-                    halves[f"tail_{name}"] = mix(tail ^ mix(tag + np.uint64(1))).view(np.int64)
+                split = [line.split() for line in lines]
+                full = np.array([bool(words) for words in split], dtype=bool)
+                split, text, number = [words for words in split if words], text[full], number[full]
+                long = np.array([len(words) >= min_words for words in split], dtype=bool)
+                halves = np.zeros((len(split), 4), dtype=np.uint64)
+                if long.any():
+                    halves[long] = np.array([_halves(w) for w in split if len(w) >= min_words], dtype=np.uint64)
+                head_a, tail_a, head_b, tail_b = halves.view(np.int64).T
                 yield pd.DataFrame(
                     {
-                        "line_key": [xxhash.xxh3_128_digest(line) for line in worded],
+                        "line_key": [xxhash.xxh3_128_digest(b" ".join(words)) for words in split],
                         "doc": doc[i:j][text],
                         "row_key": row_key[i:j][text],
                         "line": number.astype(np.int32),
-                        "long": size >= min_words,
-                        **halves,
+                        "long": long,
+                        "head_a": head_a,
+                        "tail_a": tail_a,
+                        "head_b": head_b,
+                        "tail_b": tail_b,
                     }
                 )
 
@@ -121,40 +129,39 @@ def _words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The line itself (position -1) and each variant with one word deleted."""
-    for batch in batches:
-        for words, line_key in zip(batch["words"], batch["line_key"], strict=True):
-            words = np.asarray(words, dtype=np.int64).view(np.uint64)
-            size = len(words)
-            sequence = Sequences(words, WORD_BASE)
-            whole = sequence.runs(np.zeros(1, dtype=np.int64), np.array([size]))
-            variant = np.append(sequence.without_one(), whole)
-            yield pd.DataFrame(
-                {
-                    "variant": variant.view(np.int64),
-                    "position": np.append(np.arange(size), -1).astype(np.int32),
-                    "line_key": line_key,
-                }
-            )
+def _variants(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and position of each variant with one word deleted, and of the line itself (-1)."""
+    size = len(words)
+    sequence = Sequences(words, WORD_BASE)
+    whole = sequence.runs(np.zeros(1, dtype=np.int64), np.array([size]))
+    return np.append(sequence.without_one(), whole), np.append(np.arange(size), -1)
 
 
-def _batched(make):
-    """Hand out larger frames than one per line."""
+@frugal
+def _all_variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    keys, variants, positions, rows = [], [], [], 0
+
+    def frame() -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "variant": np.concatenate(variants).view(np.int64),
+                "position": np.concatenate(positions).astype(np.int32),
+                "line_key": [k for k, own in zip(keys, variants, strict=True) for _ in range(len(own))],
+            }
+        )
 
-    @frugal
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, rows = [], 0
-        for frame in make(batches):
-            held.append(frame)
-            rows += len(frame)
+    for batch in batches:
+        for words, line_key in zip(batch["words"], batch["line_key"], strict=True):
+            variant, position = _variants(np.asarray(words, dtype=np.int64).view(np.uint64))
+            keys.append(line_key)
+            variants.append(variant)
+            positions.append(position)
+            rows += len(variant)
             if rows >= 50_000:
-                yield pd.concat(held, ignore_index=True)
-                held, rows = [], 0
-        if held:
-            yield pd.concat(held, ignore_index=True)
-
-    return run
+                yield frame()
+                keys, variants, positions, rows = [], [], [], 0
+    if keys:
+        yield frame()
 
 
 def within_one(a, b) -> bool:
@@ -215,7 +222,7 @@ def _near(firsts: DataFrame, texts: DataFrame) -> DataFrame:
         hopeful.join(words, ["row_key", "line"]).select("line_key", place, "words"), "line-words"
     )
     variants = lines.select("line_key", "words").mapInPandas(
-        _batched(_variants), "variant long, position int, line_key binary"
+        _all_variants, "variant long, position int, line_key binary"
     )
     variants = variants.join(lines.select("line_key", "place"), "line_key")
     group, same = Window.partitionBy("variant"), Window.partitionBy("variant", "position")
