@@ -26,6 +26,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: What a task of a shuffle should read, compressed. Sorting and hashing take about fifty times as
+#: much memory, so this, and not the size of the tables, bounds the memory of a task.
+TASK_BYTES = "8m"
+#: What of the stored tables makes one partition at first: less, as shuffled rows are larger.
+STORED_BYTES = 4 << 20
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def deal_out(spark: SparkSession, stored: int) -> None:
+    """Let shuffles of tables of ``stored`` bytes have as many partitions as small tasks need.
+
+    Adaptive execution joins partitions up to the advised size but cannot split what was dealt
+    into too few, so their number grows with the tables; it never falls below the session's.
+    """
+    if spark.conf.get(_ADVISORY, None) != TASK_BYTES:
+        spark.conf.set(_ADVISORY, TASK_BYTES)
+    wanted = -(-stored // STORED_BYTES)
+    if wanted > int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(_INITIAL, str(wanted))
+
+
 def local_session(cores: str | int = "*", app: str = "orderloom", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark; clusters bring their own."""
     builder = (

@@ -19,6 +19,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder; 0 if there is none."""
+    system, place = _place(spark, path)
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none if it does not exist."""
     system, place = _place(spark, path)

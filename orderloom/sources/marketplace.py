@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.normalize import last_by
-from orderloom.session import configure
+from orderloom.session import configure, deal_out
+from orderloom.sources.files import size_of
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class Marketplace:
 
     def __post_init__(self):
         configure(self.spark)
+        deal_out(self.spark, size_of(self.spark, f"{self.folder}/lineitem.parquet"))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
