@@ -24,6 +24,20 @@ TIMES = "[ h:m[:s] a][ H:m[:s[.SSSSSS][.SSS]]]['T'H:m[:s[.SSSSSS][.SSS]]][ XXX][
 DATED = "(^|[^0-9.:])[0-9]{4}([^0-9]|$)"
 DAY_FIRST = "d/M/yyyy"
 DAY_FIRST_SHAPE = "^(1[3-9]|2[0-9]|3[01])/"
+# Full times in their usual spellings. A text of one of these shapes is read by its own
+# format, which costs a fraction of one with optional sections.
+_DATE_TIME = (
+    r"\A(?:([0-9]{2})/([0-9]{2})/([1-9][0-9]{3}) +|([1-9][0-9]{3})-([0-9]{2})-([0-9]{2})[ T])"
+    r"([0-9]{2}:[0-9]{2}:[0-9]{2})(?:Z|[+]00:00)?\z"
+)
+_AS_ISO = "$3$4-$1$5-$2$6 $7"
+_TWELVE = "(?:0?[1-9]|1[0-2]):[0-9]{2} [AP]M"
+_NAMED = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) [0-9]{2}, [1-9][0-9]{3}"
+USUAL_CLOCKS = (
+    (rf"\A{_NAMED} {_TWELVE}\z", "MMM d, yyyy h:m a"),
+    (rf"\A{_TWELVE} {_NAMED}\z", "h:m a MMM d, yyyy"),
+    (rf"\A[0-9]{{2}}/[0-9]{{2}}/[1-9][0-9]{{3}} {_TWELVE}\z", "M/d/yyyy h:m a"),
+)
 
 
 def _parse(text: Column) -> Column:
@@ -38,9 +52,21 @@ def _parse(text: Column) -> Column:
     return F.when(text.rlike(DATED), parsed).cast("timestamp_ntz")
 
 
+def _usual(cell: Column) -> Column:
+    """The time in a text of a usual shape; null for any other text, and for times there are not.
+
+    Kept short: the JVM compiles only methods of limited size, and Spark puts a projection into one.
+    """
+    shapes = [(_DATE_TIME, F.regexp_replace(cell, _DATE_TIME, _AS_ISO).try_cast("timestamp_ntz"))]
+    for shape, form in USUAL_CLOCKS:
+        shapes.append((shape, F.try_to_timestamp(cell, F.lit(form)).cast("timestamp_ntz")))
+    return F.coalesce(*(F.when(cell.rlike(shape), time) for shape, time in shapes))
+
+
 def parse_mixed_datetime(cell: Column) -> Column:
     """Zone-less timestamp from any accepted format; a bare date means midnight; else null."""
-    return _parse(F.trim(F.regexp_replace(cell, r"(?U)\s+", " ")))
+    other = _parse(F.trim(F.regexp_replace(cell, r"(?U)\s+", " ")))
+    return F.coalesce(_usual(cell), other)
 
 
 def parse_mixed_date(cell: Column) -> Column:

@@ -202,3 +202,23 @@ def test_zones_twelve_hour_clocks_and_bare_times(column):
         "": None,
     }
     assert column(temporal.parse_mixed_datetime, list(given)) == list(given.values())
+
+
+def test_full_times_in_usual_spellings_are_read_as_by_the_general_format(spark, column):
+    cells = [
+        "2021-03-05 07:08:09", "2021-03-05T07:08:09Z", "2021-03-05T07:08:09+00:00", "03/05/2021  07:08:09",
+        "03/05/2021 07:08 PM", "Mar 05, 2021 12:08 AM", "12:05 AM Dec 31, 1999", "02/29/2020 07:08:09",
+    ]
+    odd = [
+        "2021-02-30 07:08:09", "13/05/2021 07:08:09", "31/04/2021 07:08:09", "03/05/2021 13:08 PM",
+        "2021-03-05 24:00:00", "0000-01-01 00:00:00", "Feb 30, 2021 7:08 AM", "0:05 AM Jan 01, 2000",
+        "2021-03-05 07:08:09\n", "2021-03-05", "mar 5, 2021 7:08 am", "", None,
+    ]
+
+    def general(cell):
+        return temporal._parse(F.trim(F.regexp_replace(cell, r"(?U)\s+", " ")))
+
+    assert None not in (usual := column(temporal._usual, cells))
+    assert usual == column(general, cells)
+    assert column(temporal._usual, odd) == [None] * len(odd)
+    assert column(temporal.parse_mixed_datetime, odd) == column(general, odd)
