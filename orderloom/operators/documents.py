@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.temporal import iso_utc
 from orderloom.operators.lifecycle import MILESTONES, order_lifecycle, timeline, with_hours
-from orderloom.operators.ranking import running_totals
+from orderloom.operators.ranking import ranks
 from orderloom.schemas import DOCUMENT
 
 # Fixed values every document carries.
@@ -18,6 +18,9 @@ SOURCE = "mysql-snapshot"
 
 ITEM_TYPE = DOCUMENT["items"].dataType
 
+# What an order's items are sorted by: the parts of the array's elements, one after another.
+ITEM_PARTS = ("listing_id", "quantity", "extended_price", "product")
+
 
 def enrich_items(items: DataFrame, listings: DataFrame) -> DataFrame:
     """Items with their product's name, category and seller; unknown listings leave nulls.
@@ -48,12 +51,6 @@ def _item() -> Column:
     )
 
 
-def _item_fields() -> list[Column]:
-    """What an order's items are sorted by: the parts of the array's elements, one after another."""
-    item = _item()
-    return [item[f] for f in ("listing_id", "quantity", "extended_price", "product")]
-
-
 def _subtotal() -> Column:
     return F.sum("amount").cast("decimal(38,2)").alias("subtotal")
 
@@ -91,14 +88,12 @@ def item_positions(
     huge order is ranked by many tasks, each within its range. ``write`` puts rows into a table.
     """
     enriched = write(enrich_items(items, listings))
-    # Rows equal in all elements may change places; the last key lets them spread over ranges.
-    order = ["order_id", *_item_fields(), F.monotonically_increasing_id()]
     keyed = enriched.select(
-        "order_id",
-        _item().alias("item"),
-        F.struct(*order).alias("_order"),
+        "order_id", _item().alias("item"), F.monotonically_increasing_id().alias("_row")
     )
-    ranked = running_totals(keyed, ["_order"], {"rank": F.lit(1).cast("bigint")}, write)
+    # Rows equal in all elements may change places; the last key lets them spread over ranges.
+    order = ["order_id", *(f"item.{part}" for part in ITEM_PARTS), "_row"]
+    ranked = ranks(keyed, order, "rank", write).drop("_row")
     # An order's items follow one another: its first rank is the number of items before it.
     counts = ranked.groupBy("order_id").agg(F.min("rank").alias("first"))
     return ranked.join(counts, "order_id").select(

@@ -15,6 +15,48 @@ from pyspark.sql import functions as F
 RANGE = "_range"
 
 
+#: Of the ids that Spark numbers rows with, the part that counts within a partition.
+_WITHIN = (1 << 33) - 1
+
+
+def _before(name: str, window) -> Column:
+    return F.coalesce(F.sum(name).over(window), F.lit(0))
+
+
+def _bases(ranged: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
+    """What the earlier ranges add up to; as many rows as there are ranges, that is, shuffle
+    partitions."""
+    earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranged.groupBy(RANGE).agg(*(value.alias(n) for n, value in sums.items()))
+    return bases.select(RANGE, *(_before(n, earlier).alias(f"_base_{n}") for n in sums))
+
+
+def ranks(
+    rows: DataFrame,
+    order: Sequence[Column | str],
+    name: str,
+    write: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The rows with the number of earlier rows as ``name``, under the same terms.
+
+    A range is sorted and its rows numbered as they are written, so they are shuffled once.
+    """
+    ranged = write(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumns(
+            {
+                RANGE: F.spark_partition_id(),
+                name: F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN)),
+            }
+        )
+    )
+    bases = _bases(ranged, {name: F.count(F.lit(1))})
+    return ranged.join(F.broadcast(bases), RANGE).select(
+        *rows.columns, (F.col(name) + F.col(f"_base_{name}")).alias(name)
+    )
+
+
 def running_totals(
     rows: DataFrame,
     order: Sequence[Column | str],
@@ -33,16 +75,10 @@ def running_totals(
         .repartitionByRange(*order)
         .withColumn(RANGE, F.spark_partition_id())
     )
-    earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     within = Window.partitionBy(RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
-    def before(name: str, window) -> Column:
-        return F.coalesce(F.sum(name).over(window), F.lit(0))
-
-    # As many rows as there are ranges, that is, shuffle partitions.
-    bases = ranged.groupBy(RANGE).agg(*(F.sum(f"_add_{n}").alias(f"_add_{n}") for n in totals))
-    bases = bases.select(RANGE, *(before(f"_add_{n}", earlier).alias(f"_base_{n}") for n in totals))
-    ranked = ranged.withColumns({n: before(f"_add_{n}", within) for n in totals})
+    bases = _bases(ranged, {n: F.sum(f"_add_{n}") for n in totals})
+    ranked = ranged.withColumns({n: _before(f"_add_{n}", within) for n in totals})
     return ranked.join(F.broadcast(bases), RANGE).select(
         *rows.columns, *((F.col(n) + F.col(f"_base_{n}")).alias(n) for n in totals)
     )

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from orderloom import schemas
-from orderloom.operators import audit, cleaning, lifecycle, normalize, revenue, upsert
+from orderloom.operators import audit, cleaning, lifecycle, normalize, ranking, revenue, upsert
 
 EVENTS = (
     "order_id string, customer_id string, listing_id string, quantity string, "
@@ -291,3 +291,19 @@ def test_current_status(spark):
         (2, "A", "2024-01-02", "SHIPPED"),
     )
     assert rows(lifecycle.order_current_status(log)) == [(1, "DELIVERED"), (2, "PLACED")]
+
+
+def test_ranks_are_numbered_by_the_write_that_sorts(spark, tmp_path):
+    frame = spark.createDataFrame([(i % 3, (i * 37) % 101) for i in range(101)], "k int, v int")
+    written = []
+
+    def write(df):
+        path = str(tmp_path / f"ranks-{len(written)}")
+        df.write.parquet(path)
+        written.append(spark.read.parquet(path))
+        return written[-1]
+
+    found = rows(ranking.ranks(frame, ["k", "v"], "rank", write))
+    expected = sorted((i % 3, (i * 37) % 101) for i in range(101))
+    assert found == sorted(((*row, i) for i, row in enumerate(expected)), key=str)
+    assert len(written) == 1 and "rank" in written[0].columns
