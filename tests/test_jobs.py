@@ -1,6 +1,7 @@
 """The three jobs end to end on hand-written dirty files."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -402,3 +403,17 @@ def test_layouts_skip_folders_and_row_groups(spark, tmp_path):
     assert 0 < scan.metrics().apply("numOutputRows").value() < 60_000
 
 
+
+
+def test_first_documents_go_straight_to_their_buckets(spark, loaded):
+    assert jobs.snapshot_orders(spark, loaded) == {"upserted": 2, "modified": 0, "matched": 0}
+    assert not os.path.exists(f"{loaded}/_load/documents")
+    assert TableStore(spark, loaded).read_documents().count() == 2
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_documents_are_matched_alike_by_broadcast_and_by_shuffle(spark, loaded, monkeypatch, few):
+    monkeypatch.setattr(jobs, "FEW_DOCUMENTS", few)
+    jobs.snapshot_orders(spark, loaded)
+    assert jobs.snapshot_orders(spark, loaded, full=True) == {"upserted": 0, "modified": 0, "matched": 2}
+    assert TableStore(spark, loaded).read_documents().count() == 2
