@@ -155,10 +155,19 @@ def flatten(documents: DataFrame) -> DataFrame:
 
 
 def documents_of(
-    orders: DataFrame, items: DataFrame, listings: DataFrame, history: DataFrame
+    orders: DataFrame,
+    items: DataFrame,
+    listings: DataFrame,
+    history: DataFrame,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Documents of a few orders: the other orders' rows are filtered out before any grouping."""
-    ids = orders.select("order_id")
+    """Documents of a few orders: the other orders' rows are filtered out before any grouping.
+
+    ``ids`` may give the orders' numbers once more, as a scan or broadcast, so that they are not
+    taken from the orders again for each table.
+    """
+    if ids is None:
+        ids = orders.select("order_id")
     return order_snapshot(
         orders,
         items.join(ids, "order_id", "left_semi"),

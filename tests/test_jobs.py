@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ import pytest
 from orderloom.__main__ import main
 from orderloom.plans import jobs, reports
 from orderloom.schemas import CUSTOMERS, ORDER_ITEMS, STATUS_HISTORY, TABLES
+from orderloom.sources import store
 from orderloom.sources.store import StaleStore, TableStore
 
 CUSTOMERS_CSV = """customer_id,first_name,last_name,email,join_date,city
@@ -417,3 +419,61 @@ def test_documents_are_matched_alike_by_broadcast_and_by_shuffle(spark, loaded,
     jobs.snapshot_orders(spark, loaded)
     assert jobs.snapshot_orders(spark, loaded, full=True) == {"upserted": 0, "modified": 0, "matched": 2}
     assert TableStore(spark, loaded).read_documents().count() == 2
+
+
+def shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in held.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def test_shuffles_go_with_the_step_that_made_them(spark, loaded):
+    before = shuffle_files(spark)
+    jobs.snapshot_orders(spark, loaded)
+    for _ in range(50):  # they are deleted in the background
+        if not shuffle_files(spark) - before:
+            return
+        time.sleep(0.2)
+    raise AssertionError(shuffle_files(spark) - before)
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_documents_built_by_turns_are_the_same(spark, raw, loaded, tmp_path, monkeypatch, few):
+    def documents():
+        rows = TableStore(spark, loaded).read_documents().collect()
+        docs = {r._id: r.asDict(recursive=True) for r in rows}
+        for doc in docs.values():
+            doc["audit"].pop("snapshot_ts")
+        return docs
+
+    monkeypatch.setattr(jobs, "FEW_DOCUMENTS", few)
+    monkeypatch.setattr(store, "TURN_BYTES", 1)
+    (raw / "orders.csv").write_text(
+        ORDERS_CSV + "".join(f"{i},c{i % 2 + 1},L{i % 2 + 1},1,2.00,2024-03-01 00:00:00,placed\n" for i in range(3, 30))
+    )
+    jobs.clean_files(spark, str(raw), str(tmp_path / "more"))
+    jobs.load_tables(spark, str(tmp_path / "more"), loaded)
+    tables = TableStore(spark, loaded)
+    turns = tables.turns((TABLES["orders"], ORDER_ITEMS))
+    assert len(turns) == len(tables.current.parts["orders"]) > 4  # one bucket each
+    assert jobs.snapshot_orders(spark, loaded) == {"upserted": 29, "modified": 0, "matched": 0}
+    first = documents()
+    monkeypatch.setattr(store, "TURN_BYTES", 1 << 40)
+    assert jobs.snapshot_orders(spark, loaded, full=True) == {"upserted": 0, "modified": 0, "matched": 29}
+    assert len(first) == 29 and documents() == first
+
+    # A new name of a listing, and a new event: by turns and at once.
+    head = ORDERS_CSV.splitlines()[0]
+    (raw / "orders.csv").write_text(f"{head}\n2,c2,L2,1,9.99,2024-01-06 00:00:00,shipped\n")
+    (raw / "listings.csv").write_text(LISTINGS_CSV.replace("Lamp", "Lantern"))
+    jobs.clean_files(spark, str(raw), str(tmp_path / "changes"))
+    jobs.load_tables(spark, str(tmp_path / "changes"), loaded)
+    monkeypatch.setattr(store, "TURN_BYTES", 1)
+    holding = sum("L2" in [i["listing_id"] for i in d["items"]] for d in first.values())
+    assert jobs.snapshot_orders(spark, loaded) == {"upserted": 0, "modified": holding, "matched": 29}
+    partial = documents()
+    assert partial["2"]["current_status"] == "SHIPPED" and partial["1"]["items"][1]["product"]["name"] == "Lantern"
+    monkeypatch.setattr(store, "TURN_BYTES", 1 << 40)
+    jobs.snapshot_orders(spark, loaded, full=True)
+    assert documents() == partial
+    left = [f for f in os.listdir(f"{loaded}/_load") if f.startswith(("documents", "changed"))]
+    assert [f for d in left for f in os.listdir(f"{loaded}/_load/{d}")] == []
