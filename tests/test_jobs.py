@@ -437,7 +437,10 @@ def test_shuffles_go_with_the_step_that_made_them(spark, loaded):
 
 
 @pytest.mark.parametrize("few", [0, 1_000_000])
-def test_documents_built_by_turns_are_the_same(spark, raw, loaded, tmp_path, monkeypatch, few):
+def test_documents_built_by_turns_are_the_same(spark, raw, tmp_path, monkeypatch, few):
+    loaded = str(tmp_path / "store")
+    TableStore(spark, loaded, buckets=3).publish({})
+
     def documents():
         rows = TableStore(spark, loaded).read_documents().collect()
         docs = {r._id: r.asDict(recursive=True) for r in rows}
@@ -446,7 +449,6 @@ def test_documents_built_by_turns_are_the_same(spark, raw, loaded, tmp_path, mon
         return docs
 
     monkeypatch.setattr(jobs, "FEW_DOCUMENTS", few)
-    monkeypatch.setattr(store, "TURN_BYTES", 1)
     (raw / "orders.csv").write_text(
         ORDERS_CSV + "".join(f"{i},c{i % 2 + 1},L{i % 2 + 1},1,2.00,2024-03-01 00:00:00,placed\n" for i in range(3, 30))
     )
@@ -454,7 +456,9 @@ def test_documents_built_by_turns_are_the_same(spark, raw, loaded, tmp_path, mon
     jobs.load_tables(spark, str(tmp_path / "more"), loaded)
     tables = TableStore(spark, loaded)
     turns = tables.turns((TABLES["orders"], ORDER_ITEMS))
-    assert len(turns) == len(tables.current.parts["orders"]) > 4  # one bucket each
+    assert turns == [[0, 1, 2]]
+    monkeypatch.setattr(store, "TURN_BYTES", 1)
+    assert tables.turns((TABLES["orders"], ORDER_ITEMS)) == [[0], [1], [2]]
     assert jobs.snapshot_orders(spark, loaded) == {"upserted": 29, "modified": 0, "matched": 0}
     first = documents()
     monkeypatch.setattr(store, "TURN_BYTES", 1 << 40)
@@ -477,3 +481,54 @@ def test_documents_built_by_turns_are_the_same(spark, raw, loaded, tmp_path, mon
     assert documents() == partial
     left = [f for f in os.listdir(f"{loaded}/_load") if f.startswith(("documents", "changed"))]
     assert [f for d in left for f in os.listdir(f"{loaded}/_load/{d}")] == []
+
+
+def test_a_load_by_turns_is_the_same_and_leaves_only_rejected_rows(spark, raw, tmp_path, monkeypatch):
+    clean, root, plain = (str(tmp_path / n) for n in ("clean", "store", "plain"))
+    orders = raw / "orders.csv"
+    orders.write_text(
+        orders.read_text()
+        + "".join(f"{i},c{i % 2 + 1},L{i % 2 + 1},1,2.00,2024-03-01 00:00:00,placed\n" for i in range(3, 30))
+    )
+    jobs.clean_files(spark, str(raw), clean, compression="gzip")
+    assert os.listdir(f"{clean}/_judged") == []
+    parts = [f for f in os.listdir(f"{clean}/clean_orders.csv") if f.startswith("part-")]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
+
+    def held(root):
+        found = os.walk(f"{root}/_load")
+        return {d.split("/_load/")[1].split("/")[0] for d, _, files in found for f in files if f.startswith("part-")}
+
+    whole = jobs.load_tables(spark, clean, plain)
+    assert held(plain) == set()
+    monkeypatch.setattr(store, "TURN_BYTES", 1)
+    TableStore(spark, root, buckets=3).publish({})  # three turns of one bucket
+    report = jobs.load_tables(spark, clean, root)
+    assert report.upserted == whole.upserted and report.touched["orders"] == [0, 1, 2]
+    assert contents(spark, root) == contents(spark, plain)
+    assert held(root) == set()
+
+    # Later rows of the file win, in every turn; rejected rows stay with their reasons.
+    head = ORDERS_CSV.splitlines()[0]
+    orders.write_text(
+        f"{head}\n" + "".join(f"{i},c1,L1,{i},3.00,2024-04-01 00:00:00,shipped\n" for i in range(3, 30))
+        + "x,c1,L1,1,1,2024-01-01 00:00:00,placed\n" + "40,c9,L1,1,1,2024-01-01 00:00:00,placed\n"
+    )
+    jobs.clean_files(spark, str(raw), str(tmp_path / "more"))
+    reports = [jobs.load_tables(spark, str(tmp_path / "more"), root, on_reject="quarantine")]
+    monkeypatch.setattr(store, "TURN_BYTES", 1 << 40)
+    reports.append(jobs.load_tables(spark, str(tmp_path / "more"), plain, on_reject="quarantine"))
+    assert reports[0].rejected == reports[1].rejected and reports[0].rejected["orders column rules"] == 1
+    assert reports[0].upserted == reports[1].upserted
+    assert contents(spark, root) == contents(spark, plain)
+    assert held(root) == held(plain) >= {"orders_judged", "orders_without_customers"}
+
+
+def test_good_rows_do_not_keep_their_text(spark):
+    from orderloom.operators import cleaning
+
+    raw = spark.createDataFrame([("L1", "5"), ("L2", "x")], "listing_id string, stock_quantity string")
+    judged = cleaning.judge(raw, cleaning.LISTING_RULES)
+    cells = {r.listing_id: r[cleaning.CELLS] for r in judged.collect()}
+    assert cells["L1"] is None and tuple(cells["L2"]) == ("L2", "x")
+    assert [r.stock_quantity for r in cleaning.quarantined(judged).collect()] == ["x"]
